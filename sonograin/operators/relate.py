@@ -10,6 +10,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sonograin.functions.text import natural_key
+
 
 def enrich(left: DataFrame, right: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
     """JN-02: left join whose columns fill what is missing on the left; a value that is there wins."""
@@ -66,11 +68,10 @@ def resolve_names(chapters: DataFrame, files: DataFrame, keys: list[str], number
     leading = F.regexp_extract_all(low, F.lit(r"^0*(\d+)(?:[-_ .]|$)"), 1)
     behind = r"(?:book|part|vol|volume|cd|disc|edition|act|scene|unit)\s*"
     delimited = F.regexp_extract_all(F.regexp_replace(low, behind + r"[-_ ]0*\d+", ""), F.lit(r"(?:[-_ ]|^)0*(\d+)(?!\d)"), 1)
-    from sonograin.functions.text import natural_key
-
     w = Window.partitionBy(*keys).orderBy(natural_key(F.col(name)), name)
     by_place = F.when(~low.rlike(r"\d"), F.array(F.row_number().over(w).cast("string"))).otherwise(F.array().cast("array<string>"))
-    tiers = files.select(*keys, name, F.posexplode(F.array(explicit, leading, delimited, by_place)).alias("tier", "ns"))
+    placed = files.withColumn("__place", by_place)
+    tiers = placed.select(*keys, name, F.posexplode(F.array(explicit, leading, delimited, F.col("__place"))).alias("tier", "ns"))
     hits = tiers.select(*keys, name, (F.col("tier") + 1).alias("tier"), F.explode("ns").alias("__n")).withColumn("__n", F.expr("try_cast(__n AS bigint)")).distinct()
     best = hits.groupBy(*keys, "__n", "tier").agg(F.count("*").alias("n"), F.min(name).alias("file"))
     best = best.groupBy(*keys, "__n").agg(F.min_by(F.struct("tier", "n", "file"), "tier").alias("b"))
