@@ -9,6 +9,6 @@ from sonograin.plans import catalog
 
 def load() -> ModuleType:
     """The catalog with every module of queries imported."""
-    from sonograin.plans import records, sequences, texts, timeline  # noqa: F401
+    from sonograin.plans import records, sequences, streams, texts, timeline  # noqa: F401
 
     return catalog
