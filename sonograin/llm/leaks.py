@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonograin.llm.canon import canonical
+from sonograin.tables import plan_bytes
 
 #: Characters of a q-gram; band width in characters; least shared q-grams of a band (n = 36 characters, 6
 #: words at least, under a budget of one edit: 36 + 1 - 16 * 2 = 5).
@@ -33,6 +34,8 @@ WORDS, LEAST_STRETCH, UNCHANGED, EDIT = 20, 6, 0.75, 1.2
 HALF, MARGIN = 6, 14
 #: Most characters of passages in one index block: about 40 bytes of index each.
 BLOCK_CHARS = 4 << 20
+#: Estimated input bytes of a task, and most tasks (an input of unknown size is estimated as endless).
+TASK_BYTES, MOST_TASKS = 8 << 20, 50_000
 #: A leading sentence of at least so many passages, and this share of them, is a stock instruction.
 STOCK_ITEMS, STOCK_SHARE = 3, 0.01
 
@@ -134,42 +137,40 @@ class Index:
 def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     """Best local alignment of each row of word numbers a with the row of b, near the diagonal: word i of a meets
     words i .. i + 2 * HALF of b.  A match counts 1, a changed, added or missing word costs EDIT.  Returns matches,
-    a from, a to, b from, b to; all rows at once."""
+    a from, a to, b from, b to; all rows at once.  Matches and both starts travel as one number per cell."""
     n, rows = a.shape
     width = 2 * HALF + 1
-    cost = EDIT
-    col = np.arange(width)
-    zero = np.zeros((n, width + 1))
-    s, m, p, q = zero.copy(), zero.astype(np.int32), zero.astype(np.int32), zero.astype(np.int32)
-    best = np.zeros(n)
-    out = [np.zeros(n, np.int32) for _ in range(5)]
+    cost = np.float32(EDIT)
+    col = np.arange(width, dtype=np.int64)
+    slope = (cost * col).astype(np.float32)
+    one = np.int64(1) << 40
+    s, code = np.zeros((n, width + 1), np.float32), np.zeros((n, width + 1), np.int64)
+    best = np.zeros(n, np.float32)
+    kept, end_a, end_b = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    k = np.arange(n)
     for i in range(rows):
         same = a[:, i, None] == b[:, i : i + width]
         fresh = same & (s[:, :width] <= 0)
-        c = s[:, :width] + np.where(same, 1.0, -cost)
-        c[fresh] = 1.0
-        cm = np.where(fresh, 1, m[:, :width] + same)
-        cp = np.where(fresh, i, p[:, :width])
-        cq = np.where(fresh, col[None, :] + i, q[:, :width])
+        c = s[:, :width] + np.where(same, np.float32(1), -cost)
+        x = np.where(fresh, one + (i << 20) + col + i, code[:, :width] + same * one)
         up = s[:, 1:] - cost
         better = up > c
-        c, cm, cp, cq = (np.where(better, x, y) for x, y in ((up, c), (m[:, 1:], cm), (p[:, 1:], cp), (q[:, 1:], cq)))
-        c = np.maximum(c, 0)
-        t = c + cost * col  # an added word of b: the best cell to the left
+        c, x = np.where(better, up, c), np.where(better, code[:, 1:], x)
+        t = np.maximum(c, 0) + slope  # an added word of b: the best cell to the left
         top = np.maximum.accumulate(t, axis=1)
-        src = np.maximum.accumulate(np.where(t >= top, col, 0), axis=1)
-        c = np.take_along_axis(c, src, 1) - cost * (col - src)
-        cm, cp, cq = (np.take_along_axis(x, src, 1) for x in (cm, cp, cq))
-        c = np.maximum(c, 0)
-        s[:, :width], m[:, :width], p[:, :width], q[:, :width] = c, cm, cp, cq
+        if (top > t).any():
+            src = np.maximum.accumulate(np.where(t >= top, col, 0), axis=1)
+            x = np.take_along_axis(x, src, 1)
+        c = np.maximum(top - slope, 0)
+        s[:, :width], code[:, :width] = c, x
         d = c.argmax(axis=1)
-        k = np.arange(n)
-        new = c[k, d] > best
+        now = c[k, d]
+        new = now > best
         if new.any():
-            best[new] = c[k, d][new]
-            for o, x in zip(out, (cm[k, d], cp[k, d], np.full(n, i + 1), cq[k, d], d + i + 1), strict=True):
-                o[new] = x[new]
-    return tuple(out)
+            best[new] = now[new]
+            kept[new], end_a[new], end_b[new] = x[k, d][new], i + 1, d[new] + i + 1
+    low = (1 << 20) - 1
+    return kept >> 40, (kept >> 20) & low, end_a, kept & low, end_b
 
 
 def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -180,7 +181,7 @@ def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos
     pair = doc * n_items + item
     diag = at - pos + (1 << 27)
     rare = index.spread[gram] <= index.rare
-    kept = []
+    sets = []
     for half in (0, BAND // 2):
         key = pair * (1 << 23) + (diag + half) // BAND
         order = np.lexsort((pos, key))
@@ -194,11 +195,27 @@ def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos
         covered = np.add.reduceat(step, first)
         few = np.add.reduceat(rare[order].astype(np.int64), first)
         keep = (few >= LEAST_GRAMS) | (covered >= LEAST_COVERED)
-        kept.append((k[first][keep] >> 23, t[first][keep], p[first][keep], t[last][keep], p[last][keep], covered[keep]))
-    pair, t0, p0, t1, p1, covered = (np.concatenate(x) for x in zip(*kept, strict=True))
-    whole = np.bincount(np.unique(pair, return_inverse=True)[1], weights=covered) if len(pair) else np.zeros(0)
-    enough = (whole >= LEAST_COVERED)[np.unique(pair, return_inverse=True)[1]] if len(pair) else np.zeros(0, bool)
-    return pair[enough], t0[enough], p0[enough], t1[enough], p1[enough]
+        own = k[first][keep] >> 23
+        # a case is one or two stretches: the two bands that cover most must cover enough
+        rank = np.lexsort((-covered[keep], own))
+        o, c = own[rank], covered[keep][rank]
+        head = np.ones(len(o), bool)
+        head[1:] = o[1:] != o[:-1]
+        at_ = np.flatnonzero(head)
+        second = np.where(np.append(at_[1:], len(o)) - at_ > 1, c[np.minimum(at_ + 1, max(len(c) - 1, 0))], 0) if len(o) else np.zeros(0, np.int64)
+        sets.append((own, t[first][keep], p[first][keep], t[last][keep], p[last][keep], o[at_], c[at_] + second))
+    # of the two sets of bands, which overlap, a pair is taken from the one that covers it better
+    pairs = np.unique(np.concatenate([x[5] for x in sets]))
+    cover = np.zeros((2, len(pairs)), np.int64)
+    for row, x in zip(cover, sets, strict=True):
+        row[np.searchsorted(pairs, x[5])] = x[6]
+    use = cover.max(axis=0) >= LEAST_COVERED
+    out = []
+    for i, x in enumerate(sets):
+        chosen = use & (cover.argmax(axis=0) == i)
+        m = chosen[np.searchsorted(pairs, x[0])] if len(x[0]) else np.zeros(0, bool)
+        out.append([y[m] for y in x[:5]])
+    return tuple(np.concatenate(z) for z in zip(*out, strict=True))
 
 
 def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
@@ -244,16 +261,19 @@ def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
             j = lo + shift - HALF
             seg = dw[max(0, j) : max(0, j + rows + 2 * HALF)]
             b[r, max(0, -j) : max(0, -j) + len(seg)] = seg[: b.shape[1] - max(0, -j)]
-        for _ in range(2):  # the best stretch, and then the best beside it
-            m, a0, a1, b0, b1 = align(a, b)
+        rows_left = np.arange(len(part))
+        for _ in range(2):  # the best stretch, and where that is too short the best beside it
+            m, a0, a1, b0, b1 = align(a[rows_left], b[rows_left])
             good = (a1 - a0 >= LEAST_STRETCH) & (m >= UNCHANGED * (a1 - a0))
-            for r in np.flatnonzero(good).tolist():
+            for g in np.flatnonzero(good).tolist():
+                r = int(rows_left[g])
                 pr, lo, _, shift = spans[part[r]]
                 j = lo + shift - HALF
-                found.setdefault(pr, []).append((int(m[r]), int(a0[r]) + lo, int(a1[r]) + lo, int(b0[r]) + j, int(b1[r]) + j))
-                a[r, a0[r] : a1[r]] = -1
-                b[r, b0[r] : b1[r]] = -3
-            if not good.any():
+                found.setdefault(pr, []).append((int(m[g]), int(a0[g]) + lo, int(a1[g]) + lo, int(b0[g]) + j, int(b1[g]) + j))
+                a[r, a0[g] : a1[g]] = -1
+                b[r, b0[g] : b1[g]] = -3
+            rows_left = rows_left[good & (a1 - a0 < WORDS)]
+            if not len(rows_left):
                 break
     for pr, ws in sorted(found.items()):
         yield pr // n_items, pr % n_items, held_words(ws)
@@ -291,6 +311,8 @@ def find_leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str
         size += len(t)
     kind = dict(docs.dtypes)[doc]
     src = docs.select(F.col(doc).alias("__d"), F.col(text).alias("__t")).where("__t IS NOT NULL AND __t <> ''")
+    # the work per byte is high: even, small tasks, more of them as the table grows
+    src = src.repartition(min(MOST_TASKS, max(4 * docs.sparkSession.sparkContext.defaultParallelism, plan_bytes(src) // TASK_BYTES)), "__d")
     found = None
     for block in blocks:
         held = docs.sparkSession.sparkContext.broadcast(block)
