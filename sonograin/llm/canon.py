@@ -238,7 +238,7 @@ def look_alike_pairs(df: DataFrame, group: list[str], text: str, key: str | None
 
 def squash(c: Column) -> Column:
     """What a reader sees of white space: none at the ends, one blank inside."""
-    return F.trim(F.regexp_replace(c, r"[\s\u0085  ]+", " "))
+    return F.trim(F.regexp_replace(c, r"[\s\u0085\u2028\u2029]+", " "))
 
 
 def _same(group: list[str], left: str, right: str) -> Column:

@@ -30,12 +30,14 @@ LEAST_COVERED, COMMON = 56, 0.02
 #: Words of the passage that a case holds, in one or two stretches; least words of a stretch; share of a
 #: stretch's words that must be unchanged; cost of an edited word against a kept one.
 WORDS, LEAST_STRETCH, UNCHANGED, EDIT = 20, 6, 0.75, 1.2
+#: Share of all held words that must be unchanged.
+SURE = 0.85
 #: Half width of the alignment band, in words, and words around the shared q-grams that are aligned.
 HALF, MARGIN = 6, 14
 #: Most characters of passages in one index block: about 40 bytes of index each.
 BLOCK_CHARS = 4 << 20
-#: Estimated input bytes of a task, and most tasks (an input of unknown size is estimated as endless).
-TASK_BYTES, MOST_TASKS = 8 << 20, 50_000
+#: Estimated input bytes of a task; an input whose size no source states is estimated as endless.
+TASK_BYTES, UNKNOWN_BYTES = 8 << 20, 1 << 50
 #: A leading sentence of at least so many passages, and this share of them, is a stock instruction.
 STOCK_ITEMS, STOCK_SHARE = 3, 0.01
 
@@ -281,15 +283,18 @@ def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
 
 def held_words(stretches: list[tuple[int, int, int, int, int]]) -> int:
     """Words of the passage held in their order in at most two of the stretches; a changed word inside a
-    stretch counts as held, so few edits do not undo a case."""
+    stretch counts as held, so few edits do not undo a case, but over all more than SURE must be unchanged:
+    sentences that only share their frame of common phrases are no case."""
     ws = list(dict.fromkeys(stretches))
     best = 0
     for k, w in enumerate(ws):
-        best = max(best, w[2] - w[1])
+        if w[0] > SURE * (w[2] - w[1]):
+            best = max(best, w[2] - w[1])
         for v in ws[k + 1 :]:
             a, b = (w, v) if w[1] < v[1] else (v, w)
-            if a[2] <= b[1] and a[4] <= b[3]:
-                best = max(best, a[2] - a[1] + b[2] - b[1])
+            held = a[2] - a[1] + b[2] - b[1]
+            if a[2] <= b[1] and a[4] <= b[3] and a[0] + b[0] > SURE * held:
+                best = max(best, held)
     return best
 
 
@@ -312,7 +317,9 @@ def find_leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str
     kind = dict(docs.dtypes)[doc]
     src = docs.select(F.col(doc).alias("__d"), F.col(text).alias("__t")).where("__t IS NOT NULL AND __t <> ''")
     # the work per byte is high: even, small tasks, more of them as the table grows
-    src = src.repartition(min(MOST_TASKS, max(4 * docs.sparkSession.sparkContext.defaultParallelism, plan_bytes(src) // TASK_BYTES)), "__d")
+    size = plan_bytes(src)
+    tasks = size // TASK_BYTES if size < UNKNOWN_BYTES else 0
+    src = src.repartition(max(4 * docs.sparkSession.sparkContext.defaultParallelism, tasks), "__d")
     found = None
     for block in blocks:
         held = docs.sparkSession.sparkContext.broadcast(block)

@@ -45,8 +45,8 @@ _PLAIN = re.compile(r"[\W_]+")
 COPIED = 0.6
 #: Least share of Han among the letters of a Chinese rendering.
 CHINESE = 0.35
-#: Share of all final characters from which a character closes a rendering, beside the known marks.
-CLOSES = 0.02
+#: Share of all final characters, and number of them, from which a character closes a rendering, beside the known marks.
+CLOSES, LEAST_SEEN = 0.02, 20
 #: Rendered length per source character, as a share of the usual one, under which fewer sentences mean missing ones.
 SHORT = 1.15
 
@@ -120,7 +120,7 @@ def closing_characters(df: DataFrame, text: str, trans: str) -> list[str]:
     last = df.select(F.substring(F.rtrim(F.col(trans)), -1, 1).alias("c"), F.rtrim(F.col(text)).alias("t"))
     per = last.where(F.col("t").rlike("[.!?。！？]$") & F.col("c").rlike(r"\p{IsHan}|\p{P}")).groupBy("c").agg(F.count("*").alias("n"))
     total = per.agg(F.sum("n").alias("total"))
-    return [r["c"] for r in per.where(F.col("n") >= CLOSES * total.scalar()).collect()]
+    return [r["c"] for r in per.where((F.col("n") >= CLOSES * total.scalar()) & (F.col("n") >= LEAST_SEEN)).collect()]
 
 
 def usual_lengths(df: DataFrame, text: str, trans: str, lang: str) -> DataFrame:

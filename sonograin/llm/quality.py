@@ -91,7 +91,8 @@ def _line(text: str, out: np.ndarray, common: frozenset) -> None:
     n_body = len(_WORD.findall(body)) if not wide else max(1, wide // 3)
     full = bool(_FULL_END.search(s))
     code = "{" in s and "}" in s and "=" in s
-    if rule or (not code and len(cells) >= 3 and spaced_row and short_cells and not leader and (numeric >= 1 or len(cells) >= 4 or s.count("|") >= 2 or "\t" in s) and not (full and (not numeric or len(words) > 2 * len(cells)))):
+    piped = s.startswith("|") and s.endswith("|") and len(cells) >= 2
+    if rule or (not code and piped and short_cells) or (not code and len(cells) >= 3 and spaced_row and short_cells and not leader and (numeric >= 1 or len(cells) >= 4 or s.count("|") >= 2 or "\t" in s) and not (full and (not numeric or len(words) > 2 * len(cells)))):
         add["row_lines"], add["row_chars"], add["field_cells"] = 1, visible, len(cells)
     elif words and ((leader and len(words) <= 14) or (not full and (n_body <= 4 or (bullet and n_body <= 7)) and (not wide or wide <= 16)) or (bullet and n_body <= 3) or (not full and _GLOSS.match(s) and len(words) <= 9 and wide <= 20)):
         add["entry_lines"], add["entry_chars"] = 1, visible
@@ -188,7 +189,7 @@ def text_counts(df: DataFrame, key: str, text: str, common: list[str], levels: i
     `common`: frequent words. Keys must be unique; a null key counts as a document of its own. `levels`
     of merging hold texts of up to CHUNK * FAN ** levels characters, more than a Spark string can have."""
     words = frozenset(w.lower() for w in common)
-    t = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "\r\n?|[  \u0085]", "\n")
+    t = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "\r\n?|[\u2028\u2029\u0085]", "\n")
     n = F.greatest(F.lit(1), F.ceil(F.length("__t") / F.lit(CHUNK)))
     src = df.select(F.col(key).cast("bigint").alias("__id"), t.alias("__t")).withColumn("__n", n)
     parts = src.select("__id", "__n", "__t", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)).alias("__i"))

@@ -136,7 +136,7 @@ def _closing_run(text: str, at: int, lang: str) -> int:
     while j < len(text):
         c = text[j]
         k = j
-        if c in " \xa0  " and lang == "fr":  # French sets a space before » and ! ?
+        if c in " \xa0\u202f\u2009" and lang == "fr":  # French sets a space before » and ! ?
             k = j + 1
             if k < len(text) and text[k] in "»!?":
                 j = k + 1
