@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Bytes up to which a table may be broadcast; larger ones are joined by shuffle.
 BROADCAST_LIMIT = 32 << 20
+#: Estimated input bytes of a task of spread(); an input whose size no source states is estimated as endless.
+TASK_BYTES, UNKNOWN_BYTES = 8 << 20, 1 << 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,14 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
+def spread(df: DataFrame, *keys: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """df in even partitions by the keys' hash: as many as the session can run four times over, more once the
+    estimated input exceeds `task_bytes` a partition. For work that costs far more than moving its rows."""
+    size = plan_bytes(df)
+    tasks = size // task_bytes if size < UNKNOWN_BYTES else 0
+    return df.repartition(max(4 * df.sparkSession.sparkContext.defaultParallelism, tasks), *keys)
+
+
 def once(df: DataFrame, stamp: str = "written_at") -> DataFrame:
     """Rows delivered more than once (equal but for `stamp`) count once; the stamp column goes.
 
