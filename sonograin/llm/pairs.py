@@ -36,9 +36,9 @@ REFUSALS = tuple(
 )
 _CLOSING = "。！？!?.．｡”’」』）)】》\"'"
 _ENDS = "。！？!?.．｡”’」』"
-_HAN = re.compile(r"[㐀-鿿豈-﫿々〇]")
-_KANA = re.compile(r"[぀-ヿ]")
-_FILES = re.compile(r"\S*[\w]+[_.]\w*\d\w*\.\w+\S*|\b(?:[A-Z]\.){1,6}|\b\w*\d\w*\b", re.ASCII)
+_HAN = re.compile(r"[\u3400-\u9fff\uf900-\ufaff々〇]")
+_KANA = re.compile(r"[\u3040-\u30ff]")
+_FILES = re.compile(r"[!-~]*\w[_.]\w*\d\w*\.\w+[!-~]*|\b(?:[A-Z]\.){1,6}|\b\w*\d\w*\b", re.ASCII)
 _PLAIN = re.compile(r"[\W_]+")
 
 #: Share of the bytes on its own up to which a response counts as copied out of the prompt.
@@ -105,6 +105,8 @@ def defect(text: str | None, trans: str | None, lang: str | None, closes: frozen
     ends = last_mark(src)
     finished = ends != "" and ends in "。！？!?.…”’\"»“›)」"
     final = last_mark(out)
+    if final in ".．" and out[-2:-1].isdigit():
+        final = out[-2]  # a number that breaks off, no end mark
     if finished and final not in _CLOSING and final not in closes and not (final == "…" and ends == "…"):
         return "truncated"
     if finished:

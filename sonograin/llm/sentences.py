@@ -48,12 +48,14 @@ MONTHS_DE = frozenset("januar februar märz april mai juni juli august september
 TIME_OPENINGS = frozenset("at by around about near until till before after from since toward towards um gegen à vers a hacia".split())
 # Reporting verbs that close an attribution after quoted speech.
 REPORTING = {
-    "zh": "说道 问道 喊道 叫道 答道 说 问 喊 叫 答 回答 低语 低声说 大声说 解释道 补充道 嚷道 道 質問 說 說道 問 問道",
+    "zh": "说道 问道 喊道 叫道 答道 说 问 喊 叫 答 回答 低声说 大声说 解释道 补充道 嚷道 說 說道 問 問道",
     "hi": "पूछा कहा बोला बोली बोले चिल्लाया चिल्लाई पुकारा बताया",
     "ja": "と って という とは",
     "ar": "قال قالت سأل سألت صاح صاحت أجاب أجابت هتف",
     "th": "ถาม พูด กล่าว ตอบ ตะโกน ว่า",
 }
+# Words that end like a reporting word and are none.
+COMPOUNDS = {"zh": "隧道 街道 通道 轨道 频道 渠道 知道 味道 车道 河道 访问 疑问 学问 顾问 小说 传说 听说 据说 呼喊 呼叫 解答 报答"}
 # Words that open a continuation in spaceless scripts, final particles that close a sentence.
 CONTINUES = {"ja": "と って という とは", "zh": "", "th": "และ แต่ หรือ ซึ่ง ที่ว่า เพราะ ว่า ก็ โดย จึง"}
 FINAL = {"ja": "か よ ね な ぞ だ です ます た", "zh": "吗 呢 吧 啊 了 的 呀", "th": "ครับ ค่ะ คะ นะ จ้ะ สิ ล่ะ"}
@@ -95,7 +97,7 @@ _LATTICE: dict[str, WordLattice] = {}
 def _lattice(lang: str) -> WordLattice:
     if lang not in _LATTICE:
         words: set[str] = set()
-        for table in (REPORTING, CONTINUES, FINAL, MEASURES):
+        for table in (REPORTING, COMPOUNDS, CONTINUES, FINAL, MEASURES):
             words.update(table.get(lang, "").split())
         _LATTICE[lang] = WordLattice(words)
     return _LATTICE[lang]

@@ -18,6 +18,7 @@ CASES = [
     ("fr", "« Où est la clé ? » demanda Ann. Le port perdit M. Vél, cf. p. 12. Fin.", ["« Où est la clé ? » demanda Ann.", "Le port perdit M. Vél, cf. p. 12.", "Fin."]),
     ("es", "La Sra. Anña vendió el puerto a las 6.30. —¿Dónde está? —preguntó Quin.", ["La Sra. Anña vendió el puerto a las 6.30.", "—¿Dónde está? —preguntó Quin."]),
     ("zh", "“拦住果园！”库瓦莫说道。第10.0.1节描述了它。他（还能是谁？）等了等……然后走了。“门在这里。”他笑了。", ["“拦住果园！”库瓦莫说道。", "第10.0.1节描述了它。", "他（还能是谁？）等了等……然后走了。", "“门在这里。”", "他笑了。"]),
+    ("zh", "“门在这里。”他看见了隧道。“走吧。”她听见了低语。", ["“门在这里。”", "他看见了隧道。", "“走吧。”", "她听见了低语。"]),
     ("ja", "「赤い箱はどこですか。」と隣人が言った。先生は午後3.5時間かけて描いた！", ["「赤い箱はどこですか。」と隣人が言った。", "先生は午後3.5時間かけて描いた！"]),
     ("hi", "“नक्शा कहाँ है?” लड़की ने पूछा। डॉ. मेलोरा ने 6.30 बजे बेचा।", ["“नक्शा कहाँ है?” लड़की ने पूछा।", "डॉ. मेलोरा ने 6.30 बजे बेचा।"]),
     ("ar", "وجد د. مالورا المفتاح في الساعة 6.30. أين الصندوق؟ غادر!", ["وجد د. مالورا المفتاح في الساعة 6.30.", "أين الصندوق؟", "غادر!"]),
@@ -159,11 +160,12 @@ def test_quantiles(spark):
 
 PAIRS = [
     ("The cat sat on the red mat today.", "猫今天坐在红色的垫子上。", None), ("The cat sat. The dog ran off.", "猫坐下了。狗跑掉了。", None), ("The cat sat. The dog ran off.", "猫坐下了。", "truncated"),
-    ("The cat sat on the red mat today.", "猫今天坐在红色的", "truncated"), ("The Happy Widow", "快乐的寡妇", None), ("It weighed 67.28 kg.", "它重67.28公斤。", None), ("The file track_49.mp3 held it.", "文件track_49.mp3里有它。", None),
+    ("The cat sat on the red mat today.", "猫今天坐在红色的", "truncated"), ("The Happy Widow", "快乐的寡妇", None), ("It cost $14.51.", "售价14.", "truncated"), ("It weighed 67.28 kg.", "它重67.28公斤。", None), ("The file track_49.mp3 held it.", "文件track_49.mp3里有它。", None),
     ("Any text.", None, "empty"), ("Any text.", " 　", "empty"), ("Any text.", "（无）", "empty"), ("Any text.", "[]", "empty"), ("Any text.", "N/A", "empty"), ("Any text.", "TODO", "empty"),
     ("The cat sat on the red mat today.", "THE CAT SAT ON THE RED MAT TODAY.", "copy"), ("The cat sat on the red mat today.", "译文：The cat sat on the mat today。", "copy"), ("He made that kite.", "He made that kite.", "copy"),
     ("The cat sat on the red mat today.", "抱歉，我无法翻译这段内容。", "refusal"), ("The cat sat on the red mat today.", "I'm sorry, but I can't translate this passage.", "refusal"), ("I cannot help you with the engine.", "这个引擎我帮不了你。", None),
     ("The cat sat on the red mat today.", "Die Brücke bewachte den Hafen um Mitternacht.", "wrong_language"), ("The cat sat on the red mat today.", "少女は地図を探した。", "wrong_language"), ("Der Brief vergaß den Hafen.", "Die Witwe suchte das Schloss.", "wrong_language"),
+    ("The cat sat on the red mat today.", "소녀는 다리 아래에서 등불을 그렸다.", "wrong_language"), ("The file track_26.mp3 held the mat. He ran.", "文件track_26.mp3里有垫子。他跑了。", None),
 ]
 
 
