@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonograin.llm.canon import canonical
-from sonograin.tables import plan_bytes
+from sonograin.tables import spread
 
 #: Characters of a q-gram; band width in characters; least shared q-grams of a band (n = 36 characters, 6
 #: words at least, under a budget of one edit: 36 + 1 - 16 * 2 = 5).
@@ -36,8 +36,6 @@ SURE = 0.85
 HALF, MARGIN = 6, 14
 #: Most characters of passages in one index block: about 40 bytes of index each.
 BLOCK_CHARS = 4 << 20
-#: Estimated input bytes of a task; an input whose size no source states is estimated as endless.
-TASK_BYTES, UNKNOWN_BYTES = 8 << 20, 1 << 50
 #: A leading sentence of at least so many passages, and this share of them, is a stock instruction.
 STOCK_ITEMS, STOCK_SHARE = 3, 0.01
 
@@ -317,9 +315,7 @@ def find_leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str
     kind = dict(docs.dtypes)[doc]
     src = docs.select(F.col(doc).alias("__d"), F.col(text).alias("__t")).where("__t IS NOT NULL AND __t <> ''")
     # the work per byte is high: even, small tasks, more of them as the table grows
-    size = plan_bytes(src)
-    tasks = size // TASK_BYTES if size < UNKNOWN_BYTES else 0
-    src = src.repartition(max(4 * docs.sparkSession.sparkContext.defaultParallelism, tasks), "__d")
+    src = spread(src, "__d")
     found = None
     for block in blocks:
         held = docs.sparkSession.sparkContext.broadcast(block)

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sonograin.tables import spread
+
 #: Characters in a chunk, and partials merged at once.
 CHUNK, FAN = 1 << 16, 64
 
@@ -27,11 +29,11 @@ _LEADER = re.compile(r"(?:\.{3,}|…{2,}|(?: \.){3,}|·{3,}|_{3,})\s*\d{0,5}\s*$
 _GLOSS = re.compile(r"^[^.!?。！？]{1,40}(?:\([\w. ]{1,12}\))?\s*[:：=–—-]\s*[^.!?。！？]{1,30}$")
 _WORD = re.compile(r"[^\W_]+(?:[’'\-][^\W_]+)*")
 _FIELD = re.compile(r"\t+|\s*\|\s*| {2,}|;|,(?=\S)")
-_CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿฀-๿]")
+_CJK = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff฀-๿]")
 _MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&(?:[a-z]{2,8}|#\d{1,6});|<!--|-->|\]\]>|https?://\S+|\{\{|\}\}|\[\[|\]\]")
 _CODE = re.compile(r"[{}<>\[\]=;&|\\^~`$#@%*_/+]|\(\)|\)\{|\|\||&&")
 _MOJIBAKE = re.compile(r"[\x80-\x9f]|Ã[\x80-ÿŒœŠšŸžƒ‚„…†‡ˆ‰‹‘’“”•–—˜™›€]?|Â[\x80-¿ ]|â[€\x80‚„†‡™œ][\x80-ÿ™œ“”˜]?|[åäãæçèéê][\x80-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|ï»¿|ï¼|ã€|Ð[\x80-¿°±²³µ]|Ñ[\x80-¿€‚ƒ„…†‡ˆ‰Š‹Œ]|�")
-_VOWEL = re.compile(r"[aeiouyáéíóúüöäâêîôûàèìòùåæøœ]", re.I)
+_VOWELS = frozenset("aeiouyáéíóúüöäâêîôûàèìòùåæøœ")
 _LATIN_WORD = re.compile(r"[A-Za-zÀ-ſ]+$")
 
 #: Counts over complete lines, in the order of the vector.
@@ -42,9 +44,10 @@ COUNTS = (
 _AT = {n: i for i, n in enumerate(COUNTS)}
 #: Longs of the bitmap that follows the counts; its bits stand for the different grams (linear counting).
 BITMAP = 64
+_BIT = [1 << i if i < 63 else -(1 << 63) for i in range(64)]
 
 
-def _line(text: str, out: np.ndarray, common: frozenset) -> None:
+def _line(text: str, out: list[int], common: frozenset) -> None:
     """Add one whole line (without its end mark) to the counts."""
     s = text.strip()
     out[_AT["chars"]] += len(text)
@@ -56,7 +59,8 @@ def _line(text: str, out: np.ndarray, common: frozenset) -> None:
     digits = sum(map(str.isdigit, s))
     blanks = sum(map(str.isspace, text))
     visible = len(text) - blanks
-    wide = len(_CJK.findall(s))
+    ascii_ = s.isascii()
+    wide = 0 if ascii_ else len(_CJK.findall(s))
     add = {
         "words": len(words), "word_chars": sum(map(len, words)), "letters": letters, "digits": digits, "spaces": blanks, "visible": visible,
         "symbols": visible - letters - digits, "lines": 1, "ended_lines": int(bool(_FULL_END.search(s))),
@@ -65,19 +69,19 @@ def _line(text: str, out: np.ndarray, common: frozenset) -> None:
     add["common"] = sum(w in common for w in low)
     if wide and common:
         add["common"] += sum(s.count(w) for w in common if _CJK.match(w))
-    latin = [w for w in low if _LATIN_WORD.match(w)]
+    latin = [w for w in low if w.isalpha()] if ascii_ else [w for w in low if _LATIN_WORD.match(w)]
     add["latin_words"] = len(latin)
-    add["vowelless"] = sum(not _VOWEL.search(w) for w in latin if len(w) > 1)
-    add["odd_words"] = sum(w.isascii() and any(map(str.isdigit, w)) and any(map(str.isalpha, w)) for w in words)
+    add["vowelless"] = sum(len(w) > 1 and _VOWELS.isdisjoint(w) for w in latin)
+    add["odd_words"] = sum(w.isascii() and any(map(str.isdigit, w)) and any(map(str.isalpha, w)) for w in words) if digits else 0
     add["markup_chars"] = sum(map(len, _MARKUP.findall(s)))
     add["code_chars"] = len(_CODE.findall(s))
-    add["mojibake_chars"] = sum(map(len, _MOJIBAKE.findall(s)))
+    add["mojibake_chars"] = 0 if ascii_ else sum(map(len, _MOJIBAKE.findall(s)))
     add["long_token_chars"] = sum(len(t) for t in s.split() if len(t) > 40 and not _CJK.search(t) and t.isascii())
     grams = low + [s[i : i + 2] for i in range(len(s) - 1) if wide and _CJK.match(s[i])]
     add["grams"] = len(grams)
     for g in set(grams):
         h = zlib.crc32(g.encode("utf-8", "replace"))
-        out[len(COUNTS) + (h >> 6) % BITMAP] |= np.int64(np.uint64(1 << (h & 63)).astype(np.int64))
+        out[len(COUNTS) + (h >> 6) % BITMAP] |= _BIT[h & 63]
     # the line's form
     cells = [c for c in _FIELD.split(s.strip("|")) if c.strip()] if len(s) < 400 else []
     size = sum(map(len, words))
@@ -104,15 +108,21 @@ def _line(text: str, out: np.ndarray, common: frozenset) -> None:
 
 def partial(chunk: str, common: frozenset) -> tuple[np.ndarray, str | None, str]:
     """(counts of complete lines, text before the first line end or None if there is none, text after the last)."""
-    out = np.zeros(len(COUNTS) + BITMAP, np.int64)
+    out = [0] * (len(COUNTS) + BITMAP)
     raw = chunk.encode("utf-8", "replace")
     out[_AT["raw_bytes"]], out[_AT["packed_bytes"]] = len(raw), len(zlib.compress(raw, 6))
     if "\n" not in chunk:
-        return out, None, chunk
+        return np.array(out, np.int64), None, chunk
     head, *middle, tail = chunk.split("\n")
     for line in middle:
         _line(line, out, common)
-    return out, head, tail
+    return np.array(out, np.int64), head, tail
+
+
+def _with_line(counts: np.ndarray, line: str, common: frozenset) -> np.ndarray:
+    out = counts.tolist()
+    _line(line, out, common)
+    return np.array(out, np.int64)
 
 
 #: Characters of a cut line that are kept until it ends; what a longer line has before that is folded into the counts.
@@ -128,26 +138,23 @@ def merge(a: tuple, b: tuple, common: frozenset) -> tuple:
         if len(tail) > 2 * PIECE and a[1] is not None:  # a line without end: fold whole words of it
             at = tail.rfind(" ", 0, len(tail) - PIECE)
             at = at if at > 0 else len(tail) - PIECE
-            counts = counts.copy()
             lines = counts[_AT["lines"]]
-            _line(tail[:at], counts, common)
+            counts = _with_line(counts, tail[:at], common)
             counts[_AT["lines"]] = lines
             tail = tail[at:]
         return counts, a[1], tail
     middle = a[2] + b[1]
     if a[1] is None:
         return counts, middle, b[2]
-    counts = counts.copy()
-    _line(middle, counts, common)
-    return counts, a[1], b[2]
+    return _with_line(counts, middle, common), a[1], b[2]
 
 
 def close(p: tuple, common: frozenset) -> np.ndarray:
     """Counts of a document whose partials are all merged."""
-    counts = p[0].copy()
+    counts = p[0]
     for cut in (p[1], p[2]):
         if cut:
-            _line(cut, counts, common)
+            counts = _with_line(counts, cut, common)
     return counts
 
 
