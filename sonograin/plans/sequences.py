@@ -87,3 +87,11 @@ def rendering_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spoken_number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC-10: records with numbers, written out. Checked against fixtures."""
     return canonical(spark, sf_dir).where(F.col("text").rlike(r"\d")).select(*REC, kernels.spoken_numbers("text").alias("text"))
+
+
+@query()
+def aligned_word_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQ-10: times of the words of every sentence that is found in the audio. Checked against fixtures."""
+    words = _words(spark, sf_dir)
+    s = _sentences(spark, sf_dir).join(words.select(*CH).distinct(), CH, "left_semi")
+    return align.word_times(s, words, CH, ["seq", "id"], "id", "text", "token_index")

@@ -252,3 +252,29 @@ def summaries(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame
     j = parts.withColumn("b", body).where("p % 2 = 1 AND b <> ''")
     n = F.regexp_extract("s", r"\d+", 0)
     return j.select(*keys, F.when(n != "", n).otherwise(F.upper(F.trim("s"))).alias("chapter"), F.col("b").alias("summary"))
+
+
+# Parts of paths and titles that mark what is no chapter, and title words of what is one however short.
+EXCLUDED = "cover halftitle titlepage title.html copyright contents toc sample extra advert libertyme invisibleorder bibliography notes".split()
+SUBSTANTIVE = "chapter|preface|intro|conclusion|epilogue|appendix|question"
+
+
+def select_chapters(docs: DataFrame, least: int = 300, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """FL-01: spine documents that are chapters: no excluded pattern in path or title (short ones as whole words in titles), and at
+    least `least` characters unless the title says what they are."""
+    href, title = F.lower("href"), F.lower(F.coalesce("toc_title", F.lit("")))
+    hit = F.lit(False)
+    for p in [*EXCLUDED, *(x.lower() for x in exclude if x)]:
+        hit = hit | F.contains(href, F.lit(p)) | (title.rlike(rf"\b{re.escape(p)}\b") if len(p) <= 4 else F.contains(title, F.lit(p)))
+    return docs.where("error IS NULL").where(~hit & ((F.col("text_chars") >= least) | title.rlike(SUBSTANTIVE)))
+
+
+def preflight(docs: DataFrame) -> DataFrame:
+    """SR-09: per book: documents, words, characters, paragraphs, images, substantive documents (over 150 words), whether it is
+    images only (under 500 words, over 10 images), and hours at 9,000 words."""
+    def n(pattern: str) -> Column:
+        return F.regexp_count(F.coalesce("html", F.lit("")), F.lit(pattern))
+    w = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda x: x != ""))
+    d = docs.where("error IS NULL").select("path", w.alias("w"), F.length("text").alias("c"), n(r"(?i)<p[\s>]").alias("p"), n(r"(?i)<(?:img|image)[\s>]").alias("i"))
+    g = d.groupBy("path").agg(F.count("*").alias("documents"), F.sum("w").alias("words"), F.sum("c").alias("chars"), F.sum("p").alias("paragraphs"), F.sum("i").alias("images"), F.count_if(F.col("w") > 150).alias("substantive"))
+    return g.withColumns({"image_only": (F.col("words") < 500) & (F.col("images") > 10), "hours": F.round(F.col("words") / 9000, 1)})

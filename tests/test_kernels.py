@@ -85,3 +85,24 @@ def test_blocks_and_paragraphs():
     assert ps == [1, 2, 2, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 5, 5, 5]
     kept = [{"text": "x", "elem_idx": 1, "is_heading": False}] * 3
     assert kernels.rebuild_paragraphs(kept) == [1, 1, 1]
+
+
+def test_word_spans_settle_retakes():
+    from sonograin.operators.align import monotone_spans, retakes, settle, source_tokens
+
+    ws = [{"word": w, "start": float(i), "end": i + 0.5} for i, w in enumerate("alpha bitter gamma delta".split())]
+    c = Chapter([{"text": "Alpha better gamma delta.", "is_heading": False, "is_tabular": False}], ws)
+    c.run()
+    assert [(w, a, o) for w, a, _, o in c.word_spans(0)] == [("Alpha", 0.0, "observed"), ("better", 1.0, "observed"), ("gamma", 2.0, "observed"), ("delta.", 3.0, "observed")]
+    assert source_tokens("He had sixty eight men") == (["he", "had", "68", "men"], [0, 1, 2, 4])
+    assert monotone_spans([(1.0, 1.0), (1.0, 0.5), (2.004, 2.5)]) == [(1.0, 1.01), (1.01, 1.02), (2.0, 2.5)]
+    base = {"has_audio_match": True, "status": "validated", "reason": None, "word_end": 9}
+    rows = settle([base | {"start": 0.0, "end": 5.0, "word_start": 0, "matched": 4}, base | {"start": 3.0, "end": 4.0, "word_start": 5, "matched": 4}])
+    assert rows[0]["end"] == 3.0
+    rows = settle([base | {"start": 3.0, "end": 4.0, "word_start": 9, "matched": 1}, base | {"start": 2.0, "end": 5.0, "word_start": 2, "matched": 9}])
+    assert rows[0]["start"] is None and rows[0]["reason"] == "non_narrated_text"
+    text = "one fine day the old man went down to the sea and sang"
+    words = [{"word": w, "start": float(i), "end": i + 0.5} for i, w in enumerate(f"{text} {text} then he slept".split())]
+    n = len(text.split())
+    rows = [{"has_audio_match": True, "start": 0.0, "end": n - 0.5, "word_start": 0, "word_end": n - 1}, {"has_audio_match": True, "start": 2.0 * n, "end": 2 * n + 2.5, "word_start": 2 * n, "word_end": 2 * n + 2}]
+    assert retakes(rows, [text, "then he slept"], words) == [{"first": 0, "last": 0, "skip_start": 0.0, "skip_end": float(n), "likeness": 1.0}]

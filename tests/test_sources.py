@@ -89,3 +89,48 @@ def test_audits(spark):
     v = audit.verdict(audit.union([audit.orthography(c), audit.typography(c)])).first()
     assert not v["ready"] and v["errors"] == 3
     assert audit.orthography(c.where("1 = 0")).count() == 0
+
+
+def test_preflight_and_selection(spark, tmp_path):
+    make_epub(tmp_path / "x.epub")
+    docs = epub.read_epubs(spark, str(tmp_path))
+    p = epub.preflight(docs).first()
+    assert (p["documents"], p["paragraphs"], p["image_only"]) == (2, 4, True if p["images"] > 10 else False)
+    assert epub.select_chapters(docs).count() == 0 and epub.select_chapters(docs, 10).count() == 2 and epub.select_chapters(docs, 10, ("b.xhtml",)).count() == 1
+
+
+def test_sound(spark):
+    import io
+    import wave
+
+    import numpy as np
+
+    from sonograin.functions import sound
+
+    rng = np.random.default_rng(1)
+    quiet, loud = rng.normal(0, 5, 16000), 8000 * np.sin(np.arange(16000) / 10)
+    pcm = np.concatenate([quiet, loud]).astype("<i2")
+    df = spark.createDataFrame([(bytearray(pcm.tobytes()),), (bytearray(b""),), (None,)], "c binary")
+    assert [r[0] for r in df.select(sound.silence_ratio("c")).collect()] == [0.5, 0.0, None]
+    assert abs(sound.onset(pcm, 0.5, 1.5) - 1.0) <= 0.02 and sound.onset(pcm, 0.1, 0.12) == 0.1
+    assert sound.calibrated_starts(pcm, [(0.5, 1.9)]) == [0.92] or abs(sound.calibrated_starts(pcm, [(0.5, 1.9)])[0] - 0.93) <= 0.02
+    b = io.BytesIO()
+    with wave.open(b, "wb") as w:
+        w.setparams((1, 2, 16000, 0, "NONE", ""))
+        w.writeframes(pcm.tobytes())
+    df = spark.createDataFrame([(bytearray(b.getvalue()),), (bytearray(b"x"),)], "c binary")
+    assert [r[0] for r in df.select(sound.wav_seconds("c")).collect()] == [2.0, None]
+
+
+def test_progress(spark):
+    from sonograin.functions import progress
+
+    df = spark.createDataFrame([(2, 150.0, 10, 500, 60.0, 100, 90), (0, 0.0, 0, 0, 0.0, 0, 0)], "i int, p double, n int, c int, s double, t int, k int")
+    c = F.col
+    rows = df.select(progress.book_percent(c("i"), c("p"), c("n")), progress.words_per_minute(c("c"), c("s")), progress.accuracy(c("k"), c("t"))).collect()
+    assert [tuple(r) for r in rows] == [(30, 100, 90), (None, None, 100)]
+    a = spark.createDataFrame([("x", 1, 50, True)], "id string, attempts int, best int, completed boolean")
+    b = spark.createDataFrame([("x", 1, 70, False), ("y", 1, 20, None)], "id string, attempts int, best int, completed boolean")
+    m = progress.merge_ledger(a, b, ["id"])
+    assert {tuple(r) for r in m.collect()} == {("x", 2, 70, True), ("y", 1, 20, False)}
+    assert tuple(progress.completion(m.withColumn("b", F.lit(1)), b.withColumn("b", F.lit(1)), ["b"], ["b", "id"]).first()) == (1, 2, 1, 0.5)
