@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonograin.functions.text import natural_key
+from sonograin.operators import blocks
 
 
 def enrich(left: DataFrame, right: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
@@ -110,19 +111,18 @@ def covered(left: DataFrame, right: DataFrame, keys: list[str], start: str, end:
     return lft.join(iv, on, how).drop("__bin")
 
 
-def asof(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, carry: list[str]) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, carry: list[str], block: Column | None = None) -> DataFrame:
     """JN-12: each left row with the carried columns of the last right row at or before it, null if there is none.
 
-    Both sides share one sorted window; of equal times the right row comes first. Of right rows at one time the
-    one with the largest carried values counts. Rows of the left with null time get nulls."""
-    shape = F.struct(*[F.col(c) for c in carry])
-    r = right.where(F.col(right_at).isNotNull()).groupBy(*keys, F.col(right_at).alias("__at")).agg(F.max(shape).alias("__r"))
-    l = left.withColumn("__at", F.col(left_at)).withColumn("__row", F.struct(*left.columns))
-    both = r.select(*keys, "__at", "__r", F.lit(None).cast(l.schema["__row"].dataType).alias("__row"), F.lit(0).alias("__side")).unionByName(
-        l.select(*keys, "__at", F.lit(None).cast(r.schema["__r"].dataType).alias("__r"), "__row", F.lit(1).alias("__side"))
+    Both sides share one order, scanned in blocks, so that no key is one task; of equal times the right row comes first. Of right
+    rows at one time the one with the largest carried values counts. Rows of the left with null time get nulls.  `block` is
+    computed from the column `__at`; default: 4096 units of a numeric time."""
+    r = right.where(F.col(right_at).isNotNull()).groupBy(*keys, F.col(right_at).alias("__at")).agg(F.max(F.struct(*[F.col(c) for c in carry])).alias("__r"))
+    lf = left.withColumn("__at", F.col(left_at)).withColumn("__row", F.struct(*left.columns))
+    both = r.select(*keys, "__at", "__r", F.lit(None).cast(lf.schema["__row"].dataType).alias("__row"), F.lit(0).alias("__side")).unionByName(
+        lf.select(*keys, "__at", F.lit(None).cast(r.schema["__r"].dataType).alias("__r"), "__row", F.lit(1).alias("__side"))
     )
-    w = Window.partitionBy(*keys).orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("__last", F.last("__r", ignorenulls=True).over(w)).where("__side = 1")
+    out = blocks.before(both, keys, ["__at", "__side"], blocks.positions("__at") if block is None else block, __last=("last", F.col("__r"))).where("__side = 1")
     return out.select("__row.*", *[F.when(F.col("__at").isNotNull(), F.col(f"__last.{c}")).alias(f"asof_{c}") for c in carry])
 
 

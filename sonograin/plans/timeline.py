@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sonograin.operators import relate, sequence
+from sonograin.operators import blocks, relate, sequence
 from sonograin.operators.sweep import periods_and_gaps
 from sonograin.plans.catalog import query
 from sonograin.tables import once, table
@@ -167,7 +167,7 @@ SELECT e.event_id, p.value AS asof_value FROM events e ASOF LEFT JOIN p ON e.use
 def asof_last_signup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-12: each event with the value of the user's last signup at or before it."""
     ev = table(spark, sf_dir, "events")
-    return relate.asof(ev.select("event_id", "user_id", "ts"), ev.where("event_type = 'signup'").select("user_id", "ts", "value"), ["user_id"], "ts", "ts", ["value"]).select("event_id", "asof_value")
+    return relate.asof(ev.select("event_id", "user_id", "ts"), ev.where("event_type = 'signup'").select("user_id", "ts", "value"), ["user_id"], "ts", "ts", ["value"], blocks.hours("__at")).select("event_id", "asof_value")
 
 
 @query(f"""
@@ -183,7 +183,7 @@ def playback_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = aligned(spark, sf_dir).where("s IS NOT NULL AND e IS NOT NULL").groupBy(*CH, ms("s").alias("a")).agg(F.max(ms("e")).alias("b"))
     st = st.withColumn("n", F.lead("a").over(Window.partitionBy(*CH).orderBy("a"))).withColumn("k", F.col("a"))
     t = spoken(spark, sf_dir).where("s IS NOT NULL").select(*CH, "token_index", ms("s").alias("t"))
-    j = relate.asof(t, st, CH, "t", "a", ["k", "b", "n"])
+    j = relate.asof(t, st, CH, "t", "a", ["k", "b", "n"], F.floor(F.col("__at") / 300_000))
     runs = (F.col("t") < F.col("asof_b")) | ((F.col("t") - F.col("asof_b") <= 1500) & (F.col("asof_n").isNull() | (F.col("t") < F.col("asof_n"))))
     return j.select(*CH, "token_index", F.when(runs, F.col("asof_k")).alias("sentence_at"))
 

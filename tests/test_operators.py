@@ -1,7 +1,6 @@
 """Sequence, join and interval operators against brute force on small fixtures."""
 
 import random
-from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,9 +74,8 @@ def test_points_and_cover(spark):
         assert {r["i"] for r in relate.points_in_intervals(p, d, ["k"], F.col("t"), "s", "e", 5, 60, how).collect()} == want
     small = [("a", i, x, x + 10) for i, x in enumerate(range(0, 1200, 13))]
     want = {i for _, i, a, b in small if any(s <= a + 2 and e >= b - 2 for _, s, e in iv)}
-    got = relate.covered(spark.createDataFrame(small, "k string, i int, a int, b int"), d, ["k"], "a", "b", 2, 60) if False else None
     lf = spark.createDataFrame(small, "k string, i int, s int, e int")
-    got = {r["i"] for r in relate.covered(lf, d.withColumnsRenamed({"s": "s", "e": "e"}), ["k"], "s", "e", 2, 60).collect()}
+    got = {r["i"] for r in relate.covered(lf, d, ["k"], "s", "e", 2, 60).collect()}
     assert got == want
 
 
@@ -110,4 +108,27 @@ def test_records(spark):
     assert {tuple(r) for r in relate.upsert(old, new.where("k > 2"), ["k"]).collect()} == {(1, "a"), (2, None), (3, "d"), (4, "e")}
     assert {tuple(r) for r in relate.set_difference(old, new, ["k"]).collect()} == {(4, "right_only")}
     assert [r["v"] for r in relate.enrich(old, new, ["k"], ["v"]).orderBy("k").collect()] == ["a", None, "c"]
-    assert list(combinations([1, 2], 2)) == [(1, 2)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_blocks_before(spark, size):
+    from sonograin.operators import blocks
+
+    rng = random.Random(size)
+    rows = [(k, i, rng.choice([None, rng.randrange(9)])) for k in ("a", "b", None) for i in rng.sample(range(40), 25)]
+    df = spark.createDataFrame(rows, "k string, i int, v int")
+    got = blocks.before(df, ["k"], ["i"], blocks.positions("i", size), s=("sum", F.col("v")), m=("max", F.col("v")), last=("last", F.col("v"))).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        earlier = [v for k, i, v in sorted((x for x in rows if x[0] == r["k"]), key=lambda x: x[1]) if i < r["i"] and v is not None]
+        assert (r["s"], r["m"], r["last"]) == ((sum(earlier), max(earlier), earlier[-1]) if earlier else (None, None, None))
+    assert blocks.before(df.where("1 = 0"), ["k"], ["i"], blocks.positions("i"), s=("sum", F.col("v"))).count() == 0
+
+
+def test_merge_and_sessions(spark):
+    df = spark.createDataFrame([("a", 0, 5), ("a", 0, 5), ("a", 6, 7), ("a", 20, 30), ("a", 22, 23), ("a", 9, 8), ("a", None, 4)], "k string, s int, e int")
+    for width in (1, 10, 1000):
+        assert sorted((r["s"], r["e"], r["n"]) for r in sequence.merge_intervals(df, ["k"], "s", "e", 1, width).collect()) == [(0, 7, 3), (20, 30, 2)]
+    t = spark.createDataFrame([("u", "2030-01-01 00:00:00"), ("u", "2030-01-01 00:00:00"), ("u", "2030-01-01 03:00:00"), ("u", None)], "u string, t string").select("u", F.to_timestamp("t").alias("t"))
+    assert sorted(r["island"] for r in sequence.sessions(t, ["u"], "t", 3_600_000_000).collect()) == [1, 1, 2]
+    assert [r["at"] for r in sequence.timeline(spark.createDataFrame([("a", i, d) for i, d in enumerate((5, None, 2))], "k string, i int, d int"), ["k"], ["i"], "d", 1).orderBy("i").collect()] == [0, 6, 7]
