@@ -199,11 +199,13 @@ def text_counts(df: DataFrame, key: str, text: str, common: list[str], levels: i
     t = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "\r\n?|[\u2028\u2029\u0085]", "\n")
     n = F.greatest(F.lit(1), F.ceil(F.length("__t") / F.lit(CHUNK)))
     src = df.select(F.col(key).cast("bigint").alias("__id"), t.alias("__t")).withColumn("__n", n)
-    parts = src.select("__id", "__n", "__t", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)).alias("__i"))
-    parts = parts.select("__id", "__n", "__i", F.expr(f"substring(__t, cast(__i * {CHUNK} + 1 as int), {CHUNK})").alias("chunk"))
-    part = parts.mapInPandas(_partials(words), _PART)
-    small = part.where("__i = -1")
-    large = part.where("__i >= 0")
+    # whole documents and pieces of huge ones part before the counting, so that each is counted once; the work per
+    # byte is high: even tasks, more of them as the table grows
+    whole = spread(src.where("__n = 1").select("__id", "__n", F.lit(0).cast("bigint").alias("__i"), F.col("__t").alias("chunk")), "__id")
+    cut = src.where("__n > 1").select("__id", "__n", "__t", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)).alias("__i"))
+    cut = cut.select("__id", "__n", "__i", F.expr(f"substring(__t, cast(__i * {CHUNK} + 1 as int), {CHUNK})").alias("chunk"))
+    small = whole.mapInPandas(_partials(words), _PART)
+    large = spread(cut, "__id", "__i").mapInPandas(_partials(words), _PART)
     for _ in range(levels - 1):
         large = large.groupBy("__id", F.floor(F.col("__i") / FAN).alias("__g")).applyInPandas(_merge_group(words, False), _PART)
     large = large.groupBy("__id").applyInPandas(_merge_group(words, True), _PART)
