@@ -123,27 +123,15 @@ def collapse_runs(df: DataFrame, keys: list[str], pos: str, key: Column, start:
     shape = ", ".join(f"{n} {kinds[k]}" for k, n in zip(keys, names, strict=True))
     shape += ", __ent bigint, __chunk bigint, first_pos bigint, last_pos bigint, n bigint, first_key string, last_key string, begin double, finish double, chunk_head boolean, chunk_tail boolean"
     parts = ev.mapInArrow(_collapse(len(keys), near), shape)
-    # Only the first and last run of a chunk can go on over its border. Chunk by chunk it is known whether
-    # the first run continues the chunk before; runs in a chain of such chunks share the chain's number.
+    # Only the first and last run of a chunk can go on over its border, and only into the first run of the next chunk:
+    # a run there is new unless it heads its chunk and its first key is alike to the last key before.
     edge = parts.where("chunk_head OR chunk_tail")
-    ends = edge.groupBy(*names, "__chunk").agg(
-        F.max(F.when(F.col("chunk_head"), F.col("first_key"))).alias("head_key"), F.max(F.when(F.col("chunk_tail"), F.col("last_key"))).alias("tail_key"),
-        F.max(F.when(F.col("chunk_head"), F.col("chunk_tail"))).alias("single"),
-    )
-    order = Window.partitionBy(*names).orderBy("__chunk")
-    a, b = F.lag("tail_key").over(order), F.col("head_key")
-    joins = (a == b) | ((F.length(a) >= near) & (F.length(b) >= near) & (F.levenshtein(a, b) <= 1))
-    ends = ends.withColumn("joins", F.coalesce(joins, F.lit(False)))
-    # a chain begins at a chunk whose first run joins nothing, or behind a chunk of more than one run
-    new = F.when(F.col("joins"), F.lit(0)).otherwise(1)
-    inner = F.when(F.col("single"), F.lit(0)).otherwise(1)  # from its first to its last run a new chain
-    ends = ends.withColumn("chain", F.sum(new).over(order) + F.coalesce(F.sum(inner).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ends = ends.select(*[F.col(n).alias(f"e{n}") for n in names], F.col("__chunk").alias("e__chunk"), "chain", inner.alias("inner"))
-    cond = F.col("__chunk") == F.col("e__chunk")
-    for n in names:
-        cond = cond & F.col(n).eqNullSafe(F.col(f"e{n}"))
-    linked = edge.join(ends, cond).withColumn("run", F.when(F.col("chunk_head"), F.col("chain")).otherwise(F.col("chain") + F.col("inner")))
-    crossing = linked.groupBy(*names, "run").agg(
+    order = Window.partitionBy(*names).orderBy("__chunk", "first_pos")
+    a, b = F.lag("last_key").over(order), F.col("first_key")
+    goes_on = F.col("chunk_head") & ((a == b) | ((F.length(a) >= near) & (F.length(b) >= near) & (F.levenshtein(a, b) <= 1)))
+    edge = edge.withColumn("new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
+    edge = edge.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    crossing = edge.groupBy(*names, "run").agg(
         F.min("first_pos").alias("first_pos"), F.max("last_pos").alias("last_pos"), F.sum("n").alias("n"), F.min_by("first_key", "first_pos").alias("first_key"), F.min("begin").alias("begin"), F.max("finish").alias("finish"),
     )
     cols = [*names, "first_pos", "last_pos", "n", "first_key", "begin", "finish"]
