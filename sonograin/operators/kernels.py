@@ -275,39 +275,41 @@ def rebuild_paragraphs(rows: list[dict], size: int = 4, words: int = 80) -> list
     return out
 
 
+def _surplus(text: str, mark: str) -> int:
+    """Openings less closings of curly marks; for straight ones, whether their number is odd."""
+    return text.count('"') % 2 if mark == '"' else text.count("“") - text.count("”")
+
+
+def _mend(texts: list[str], mark: str, n: int, closing: bool) -> None:
+    """Put n marks at the outer end of the chapter, or one at the record that is itself out of balance if the end is quoted already."""
+    step = -1 if closing else 1
+    order = range(len(texts))[::step]
+    quoted = ('"', "”", "’") if closing else ('"', "“", "‘")
+    def edge(t: str) -> str:
+        return t.rstrip()[-1:] if closing else t.lstrip()[:1]
+    def with_mark(t: str, k: int) -> str:
+        return t.rstrip() + mark * k if closing else mark * k + t.lstrip()
+    first = order[0]
+    if edge(texts[first]) not in quoted:
+        texts[first] = with_mark(texts[first], n)
+        return
+    kind = '"' if mark == '"' else "“"
+    for i in order:
+        s = _surplus(texts[i], kind)
+        if (s > 0 if closing else s < 0) and edge(texts[i]) not in quoted[:2]:
+            texts[i] = with_mark(texts[i], 1)
+            return
+
+
 def balance_quotes(texts: list[str]) -> list[str]:
     """SQ-14: a chapter's texts with its quotation marks balanced by at most two marks at its ends (or in the record that
     opened or closed too much). Balanced texts come back unchanged, so healing twice changes nothing more."""
     out = list(texts)
-    if not out:
-        return out
-    whole = " ".join(out)
-    surplus = whole.count("“") - whole.count("”")
-    ended = out[-1].rstrip()
-    if whole.count('"') % 2:
-        if not ended.endswith(('"', "”", "’")):
-            out[-1] = ended + '"'
-        else:
-            for i in range(len(out) - 1, -1, -1):
-                if out[i].count('"') % 2 and not out[i].rstrip().endswith(('"', "”")):
-                    out[i] = out[i].rstrip() + '"'
-                    break
-    if surplus > 0:
-        if not out[-1].rstrip().endswith(('"', "”", "’")):
-            out[-1] = out[-1].rstrip() + "”" * min(surplus, 2)
-        else:
-            for i in range(len(out) - 1, -1, -1):
-                if out[i].count("“") > out[i].count("”") and not out[i].rstrip().endswith(('"', "”")):
-                    out[i] = out[i].rstrip() + "”"
-                    break
-    elif surplus < 0:
-        if not out[0].lstrip().startswith(('"', "“", "‘")):
-            out[0] = "“" * min(-surplus, 2) + out[0].lstrip()
-        else:
-            for i, t in enumerate(out):
-                if t.count("”") > t.count("“") and not t.lstrip().startswith(('"', "“")):
-                    out[i] = "“" + t.lstrip()
-                    break
+    if out and sum(_surplus(t, '"') for t in out) % 2:
+        _mend(out, '"', 1, True)
+    curly = sum(_surplus(t, "“") for t in texts)
+    if out and curly:
+        _mend(out, "”" if curly > 0 else "“", min(abs(curly), 2), curly > 0)
     return out
 
 
