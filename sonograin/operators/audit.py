@@ -10,6 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sonograin.operators import blocks
+from sonograin.operators.sequence import run_ids
+
 CH = ["book", "chapter"]
 REC = ["book", "chapter", "id"]
 
@@ -57,8 +60,6 @@ def typography(c: DataFrame) -> DataFrame:
     """AU-03: missing element numbers, repeated quotation marks, chapters in which over 70 % of at least 15 prose
     paragraphs are one sentence."""
     per_row = _rules(c, [("no_element", F.col("elem_idx").isNull(), "error"), ("repeated_quotes", F.col("text").rlike("[“\"”]{2,}"), "error")])
-    from sonograin.operators.sequence import run_ids
-
     runs = run_ids(c, CH, ["seq", "id"], F.col("elem_idx")).groupBy(*CH, "run").agg(F.count("*").alias("n"), F.min_by("is_heading", "seq").alias("h"), F.min_by("text", "seq").alias("t"))
     prose = runs.where(~F.coalesce("h", F.lit(False)))
     single = (F.col("n") == 1) & ~F.coalesce(F.trim("t").rlike("^[“\"‘']"), F.lit(False))
@@ -116,6 +117,30 @@ def book_verdict(findings: DataFrame) -> DataFrame:
     return g.withColumn("state", F.when(F.col("critical") > 0, "DEFECTIVE").otherwise("CLEAN"))
 
 
+# Reasons of what is not narrated, methods that may stand out of order.
+NOT_NARRATED = ("non_narrated_content", "non_narrated_text", "duplicate_source_fragment", "out_of_scope_reference", "structural_tabular_omitted_by_narrator")
+REORDERED = ("leading_epigraph_attribution", "chapter_heading_numeric_variant", "opening_speaker_attribution", "dialogue_attribution_reorder", "dialogue_attribution_actor_omitted")
+
+
+def release_gate(a: DataFrame, void: int = 15_000, tolerance: int = 50) -> DataFrame:
+    """AU-06, FL-08: findings of the aligned rows of a timeline in milliseconds (columns book, chapter, seq, id, a, b, source_text,
+    is_heading, has_audio_match, fallback_used, alignment_status, alignment_reason, alignment_method, matched_token_count, match_ratio).
+
+    Rows that are not narrated or may stand out of order take no part in the timeline."""
+    c = F.col
+    silent = F.coalesce((c("alignment_status") == "not-applicable") & c("alignment_reason").isin(*NOT_NARRATED), F.lit(False))
+    moved = F.coalesce((c("alignment_status") == "validated") & c("alignment_method").isin(*REORDERED) & c("has_audio_match") & ~c("fallback_used"), F.lit(False))
+    rows = a.withColumn("__in", ~silent & ~moved).withColumn("__silent", silent)
+    rows = blocks.before(rows, CH, ["seq", "id"], blocks.positions("seq"), __ps=("last", F.when(c("__in"), c("a"))), __pe=("max", F.when(c("__in"), c("b"))))
+    body = ~F.coalesce("is_heading", F.lit(False)) & ~c("__silent")
+    match = F.coalesce("has_audio_match", F.lit(False))
+    weak = ~match | F.coalesce("fallback_used", F.lit(False)) | ~F.coalesce(c("alignment_status").isin("validated", "reviewed"), F.lit(False)) | (F.coalesce("matched_token_count", F.lit(0)) < 1) | (F.coalesce("match_ratio", F.lit(0.0)) < 0.5)
+    return _rules(rows.withColumnRenamed("source_text", "text"), [
+        ("non_monotonic", c("__in") & (c("a") < c("__ps")), "error"), ("overlap", c("__in") & (c("a") < c("__pe") - tolerance), "error"), ("end_before_start", c("b") < c("a"), "error"),
+        ("void", c("__in") & (c("__pe") > 0) & (c("a") - c("__pe") > void), "error"), ("no_audio", body & ~match, "error"), ("review", body & weak, "warning"),
+    ])
+
+
 def verdict(findings: DataFrame) -> DataFrame:
     """AG-22: errors, warnings and whether a book may be released (neither)."""
     g = findings.groupBy("book").agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))

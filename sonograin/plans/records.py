@@ -330,3 +330,36 @@ def recognition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(blank).alias("blank"), F.count_if(F.col("s").isNull() | F.col("e").isNull()).alias("untimed"), F.count_if(F.col("e") < F.col("s")).alias("reversed"),
         F.count_if(F.col("e") == F.col("s")).alias("zero_length"), F.count_if(~blank & (F.col("e") > F.col("s"))).alias("kept"), F.count_if(F.col("probability").isNull()).alias("no_probability"),
     )
+
+
+_GATE_SQL = f"""
+a AS ({ALIGNED_SQL}), r AS (SELECT *, CAST(round(coalesce(raw_start, s) * 1000) AS BIGINT) AS ta, CAST(round(coalesce(raw_end, e) * 1000) AS BIGINT) AS tb,
+  coalesce(alignment_status = 'not-applicable' AND alignment_reason IN ('non_narrated_content','non_narrated_text','duplicate_source_fragment','out_of_scope_reference','structural_tabular_omitted_by_narrator'), false) AS silent,
+  coalesce(alignment_status = 'validated' AND alignment_method IN ('leading_epigraph_attribution','chapter_heading_numeric_variant','opening_speaker_attribution','dialogue_attribution_reorder','dialogue_attribution_actor_omitted') AND has_audio_match AND NOT fallback_used, false) AS moved FROM a),
+p AS (SELECT *, NOT silent AND NOT moved AS part,
+  last_value(CASE WHEN NOT silent AND NOT moved THEN ta END IGNORE NULLS) OVER (PARTITION BY book, chapter ORDER BY seq, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ps,
+  max(CASE WHEN NOT silent AND NOT moved THEN tb END) OVER (PARTITION BY book, chapter ORDER BY seq, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe,
+  NOT coalesce(is_heading, false) AND NOT silent AS body FROM r),
+f AS (SELECT book, chapter, id, 'non_monotonic' AS rule, 'error' AS severity FROM p WHERE part AND ta < ps
+UNION ALL SELECT book, chapter, id, 'overlap', 'error' FROM p WHERE part AND ta < pe - 50
+UNION ALL SELECT book, chapter, id, 'end_before_start', 'error' FROM p WHERE tb < ta
+UNION ALL SELECT book, chapter, id, 'void', 'error' FROM p WHERE part AND pe > 0 AND ta - pe > 15000
+UNION ALL SELECT book, chapter, id, 'no_audio', 'error' FROM p WHERE body AND NOT coalesce(has_audio_match, false)
+UNION ALL SELECT book, chapter, id, 'review', 'warning' FROM p WHERE body AND (NOT coalesce(has_audio_match, false) OR coalesce(fallback_used, false) OR coalesce(alignment_status, '') NOT IN ('validated', 'reviewed') OR coalesce(matched_token_count, 0) < 1 OR coalesce(match_ratio, 0) < 0.5))"""
+
+
+def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = aligned(spark, sf_dir).withColumn("a", F.round(F.coalesce("raw_start", "s") * 1000).cast("bigint")).withColumn("b", F.round(F.coalesce("raw_end", "e") * 1000).cast("bigint"))
+    return audit.release_gate(a)
+
+
+@query(f"WITH {_GATE_SQL} SELECT book, chapter, id, rule, severity FROM f")
+def release_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AU-06: findings of the release gate on the aligned sentences."""
+    return _gate(spark, sf_dir).select(*REC, "rule", "severity")
+
+
+@query(f"WITH {_GATE_SQL} SELECT book, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warning') AS warnings, false AS ready FROM f GROUP BY book")
+def release_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG-22: errors and warnings of every book with findings."""
+    return audit.verdict(_gate(spark, sf_dir))
