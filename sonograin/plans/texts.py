@@ -274,13 +274,13 @@ def chapter_quote_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH c AS ({CANON_SQL}), g AS (SELECT *, sum(CASE WHEN elem_idx IS NULL OR p IS NULL OR p <> elem_idx THEN 1 ELSE 0 END) OVER (PARTITION BY book, chapter ORDER BY seq, id ROWS UNBOUNDED PRECEDING) AS run
-  FROM (SELECT *, lag(elem_idx) OVER (PARTITION BY book, chapter ORDER BY seq, id) AS p FROM c))
-SELECT book, chapter, run::BIGINT AS run, count(*) AS n, min(seq) AS first_seq, string_agg(text, ' ' ORDER BY seq, id) AS text FROM g GROUP BY book, chapter, run
+WITH c AS ({CANON_SQL}), g AS (SELECT *, sum(CASE WHEN elem_idx IS NULL OR p IS NULL OR p <> elem_idx THEN 1 ELSE 0 END) OVER (PARTITION BY book, chapter ORDER BY seq, id, elem_idx NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING) AS run
+  FROM (SELECT *, lag(elem_idx) OVER (PARTITION BY book, chapter ORDER BY seq, id, elem_idx NULLS FIRST, text NULLS FIRST) AS p FROM c))
+SELECT book, chapter, run::BIGINT AS run, count(*) AS n, min(seq) AS first_seq, string_agg(text, ' ' ORDER BY seq, id, text) AS text FROM g GROUP BY book, chapter, run
 """)
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WN-05, AG-21: records of one element joined to paragraphs."""
-    runs = sequence.run_ids(canonical(spark, sf_dir), CH, ["seq", "id"], F.col("elem_idx"))
+    runs = sequence.run_ids(canonical(spark, sf_dir), CH, ["seq", "id", "elem_idx", "text"], F.col("elem_idx"))
     parts = F.sort_array(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("seq", "id", "text"))))
     g = runs.groupBy(*CH, "run").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"), parts.alias("p"))
     return g.select(*CH, "run", "n", "first_seq", F.when(F.size("p") > 0, F.array_join(F.transform("p", lambda x: x["text"]), " ")).alias("text"))
