@@ -12,6 +12,7 @@ import unicodedata
 from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -169,7 +170,7 @@ def canonical(text: str | None) -> str | None:
     return _latinise(done) if _FOREIGN.search(done) else done
 
 
-_NOT_WORD = re.compile(r"[\W_]+")
+_NOT_WORD = regex.compile(r"[^\p{L}\p{M}\p{N}]+")  # vowel signs and accents belong to their letters
 
 
 def match_key(text: str | None) -> str | None:
@@ -177,7 +178,7 @@ def match_key(text: str | None) -> str | None:
     if text is None:
         return None
     k = _NOT_WORD.sub("", canonical(text).casefold())
-    return k or None
+    return k if any(map(str.isalnum, k)) else None
 
 
 @F.pandas_udf(T.StringType())
