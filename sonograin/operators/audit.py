@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonograin.operators import blocks
+from sonograin.operators.relate import covered
 from sonograin.operators.sequence import run_ids
 
 CH = ["book", "chapter"]
@@ -110,6 +111,23 @@ def continuity(a: DataFrame, lead: int = 4_500, first_lead: int = 30_000, gap: i
     return g.select(*CH, rule.alias("rule"), F.when(size > F.when(F.col("r") == 1, critical_lead).otherwise(critical), "critical").otherwise("warning").alias("severity"))
 
 
+def voids(a: DataFrame, least: int = 6_000) -> DataFrame:
+    """Holes of over `least` milliseconds in a timeline (columns book, chapter, seq, a, b): (book, chapter, start, end)."""
+    rows = a.where("a IS NOT NULL AND b IS NOT NULL")
+    out = blocks.before(rows, CH, ["seq", "a"], blocks.positions("seq"), __pe=("max", F.col("b")))
+    return out.where(F.col("a") - F.col("__pe") > least).select(*CH, F.col("__pe").alias("start"), F.col("a").alias("end"))
+
+
+def page_integrity(units: DataFrame, skips: DataFrame, lead: int = 4_000, first_lead: int = 30_000, gap: int = 6_000, tolerance: int = 2_000) -> DataFrame:
+    """AU-11, JN-11: (book, chapter, rule, start, end) of a compiled page's units (columns book, chapter, unit, s, e in seconds): a late
+    first unit, or a hole, that no skip range (book, chapter, start, end in milliseconds) covers."""
+    t = units.select(*CH, F.col("unit").alias("seq"), F.round(F.col("s") * 1000).cast("bigint").alias("a"), F.round(F.col("e") * 1000).cast("bigint").alias("b"))
+    first = t.groupBy(*CH).agg(F.min("a").alias("end")).where(F.col("end") > F.when(F.col("chapter") == 1, first_lead).otherwise(lead))
+    late = first.select(*CH, F.lit("LEADING_VOID").alias("rule"), F.lit(0).cast("bigint").alias("start"), "end")
+    found = late.unionByName(voids(t, gap).withColumn("rule", F.lit("INTER_SENTENCE_VOID")))
+    return covered(found, skips, CH, "start", "end", tolerance, 60_000, "left_anti")
+
+
 def book_verdict(findings: DataFrame) -> DataFrame:
     """AG-14: critical findings, warnings and state of each book; rows with a null rule stand for what was examined."""
     has = F.col("rule").isNotNull()

@@ -363,3 +363,13 @@ def release_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def release_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-22: errors and warnings of every book with findings."""
     return audit.verdict(_gate(spark, sf_dir))
+
+
+@query(f"""
+WITH a AS ({ALIGNED_SQL}), m AS (SELECT book, chapter, seq, CAST(round(s * 1000) AS BIGINT) AS a, CAST(round(e * 1000) AS BIGINT) AS b FROM a WHERE s IS NOT NULL AND e IS NOT NULL),
+p AS (SELECT *, max(b) OVER (PARTITION BY book, chapter ORDER BY seq, a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM m)
+SELECT book, chapter, pe AS "start", a AS "end" FROM p WHERE a - pe > 2000
+""")
+def narration_voids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WN-03, AU-14: holes of over two seconds in the narration."""
+    return audit.voids(aligned(spark, sf_dir).select(*CH, "seq", ms("s").alias("a"), ms("e").alias("b")), 2_000)

@@ -106,3 +106,12 @@ def test_word_spans_settle_retakes():
     n = len(text.split())
     rows = [{"has_audio_match": True, "start": 0.0, "end": n - 0.5, "word_start": 0, "word_end": n - 1}, {"has_audio_match": True, "start": 2.0 * n, "end": 2 * n + 2.5, "word_start": 2 * n, "word_end": 2 * n + 2}]
     assert retakes(rows, [text, "then he slept"], words) == [{"first": 0, "last": 0, "skip_start": 0.0, "skip_end": float(n), "likeness": 1.0}]
+
+
+def test_headings_and_epigraphs():
+    for spoken in ("chapter 21", "chapter twenty one"):
+        r = chapter(["CHAPTER TWENTY-ONE", "It was a dark night."], f"{spoken} it was a dark night")[0]
+        assert (r["method"], r["start"], r["match_ratio"]) == ("chapter_heading_numeric_variant", 0.0, 1.0)
+    rows = chapter(["All things pass in time.", "— The Book of Long Days", "It was a dark night."], "a quote from the book of long days all things pass in time it was a dark night")
+    assert rows[1]["method"] == "leading_epigraph_attribution" and rows[1]["start"] == 0.0 and rows[1]["status"] == "validated"
+    assert rows[0]["method"] == rows[2]["method"] == "unique_exact_match"

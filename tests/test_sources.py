@@ -134,3 +134,12 @@ def test_progress(spark):
     m = progress.merge_ledger(a, b, ["id"])
     assert {tuple(r) for r in m.collect()} == {("x", 2, 70, True), ("y", 1, 20, False)}
     assert tuple(progress.completion(m.withColumn("b", F.lit(1)), b.withColumn("b", F.lit(1)), ["b"], ["b", "id"]).first()) == (1, 2, 1, 0.5)
+
+
+def test_page_integrity(spark):
+    u = spark.createDataFrame([("b", 2, 0, 5.0, 6.0), ("b", 2, 1, 6.5, 7.0), ("b", 2, 2, 20.0, 21.0), ("b", 2, 3, 40.0, 41.0), ("b", 1, 0, 20.0, 21.0), ("b", 2, 4, None, 50.0)], "book string, chapter int, unit int, s double, e double")
+    none = spark.createDataFrame([], "book string, chapter int, start bigint, end bigint")
+    got = {(r["chapter"], r["rule"], r["start"], r["end"]) for r in audit.page_integrity(u, none).collect()}
+    assert got == {(2, "LEADING_VOID", 0, 5000), (2, "INTER_SENTENCE_VOID", 7000, 20000), (2, "INTER_SENTENCE_VOID", 21000, 40000)}
+    skip = spark.createDataFrame([("b", 2, 6500, 19000)], "book string, chapter int, start bigint, end bigint")
+    assert {r["start"] for r in audit.page_integrity(u, skip).collect()} == {0, 21000}
