@@ -179,12 +179,19 @@ def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos
     Returns, per band kept: pair, text position and passage position of its first and last q-gram."""
     n_items = len(index.ids)
     pair = doc * n_items + item
-    diag = at - pos + (1 << 27)
     rare = index.spread[gram] <= index.rare
+    # a pair with fewer hits than either rule for a band asks for has no band
+    n_rare, n_all = np.bincount(pair[rare], minlength=1), np.bincount(pair)
+    n_rare = np.append(n_rare, np.zeros(len(n_all) - len(n_rare), n_rare.dtype))
+    hope = ((n_rare >= LEAST_GRAMS) | (n_all * Q >= LEAST_COVERED)) & (n_all * Q >= LEAST_COVERED)
+    some = np.flatnonzero(hope[pair])
+    pair, at, pos, rare = pair[some], at[some], pos[some], rare[some]
+    diag = at - pos + (1 << 27)
+    bits = int(pos.max()).bit_length() if len(pos) else 1
     sets = []
     for half in (0, BAND // 2):
         key = pair * (1 << 23) + (diag + half) // BAND
-        order = np.lexsort((pos, key))
+        order = np.argsort((key << bits) | pos) if int(key.max(initial=0)).bit_length() + bits < 63 else np.lexsort((pos, key))
         k, p, t = key[order], pos[order], at[order]
         new = np.ones(len(k), bool)
         new[1:] = k[1:] != k[:-1]
