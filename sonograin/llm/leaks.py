@@ -36,6 +36,8 @@ SURE = 0.85
 HALF, MARGIN = 6, 14
 #: Most characters of passages in one index block: about 40 bytes of index each.
 BLOCK_CHARS = 4 << 20
+#: Characters of a piece of a huge text, and of the overlap of two pieces (longer than any quotation's stretch by far).
+PIECE, OVERLAP = 150_000, 4_000
 #: A leading sentence of at least so many passages, and this share of them, is a stock instruction.
 STOCK_ITEMS, STOCK_SHARE = 3, 0.01
 
@@ -173,8 +175,9 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     return kept >> 40, (kept >> 20) & low, end_a, kept & low, end_b
 
 
-def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Shared q-grams counted in overlapping diagonal bands; what the edit budget rules out is dropped.
+def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos: np.ndarray, doc: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Shared q-grams counted in overlapping diagonal bands; what the edit budget rules out is dropped. `least`: characters that
+    a pair must cover, by text.
 
     Returns, per band kept: pair, text position and passage position of its first and last q-gram."""
     n_items = len(index.ids)
@@ -183,7 +186,7 @@ def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos
     # a pair with fewer hits than either rule for a band asks for has no band
     n_rare, n_all = np.bincount(pair[rare], minlength=1), np.bincount(pair)
     n_rare = np.append(n_rare, np.zeros(len(n_all) - len(n_rare), n_rare.dtype))
-    hope = ((n_rare >= LEAST_GRAMS) | (n_all * Q >= LEAST_COVERED)) & (n_all * Q >= LEAST_COVERED)
+    hope = ((n_rare >= LEAST_GRAMS) | (n_all * Q >= LEAST_COVERED)) & (n_all * Q >= least[np.arange(len(n_all)) // n_items])
     some = np.flatnonzero(hope[pair])
     pair, at, pos, rare = pair[some], at[some], pos[some], rare[some]
     diag = at - pos + (1 << 27)
@@ -216,7 +219,7 @@ def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos
     cover = np.zeros((2, len(pairs)), np.int64)
     for row, x in zip(cover, sets, strict=True):
         row[np.searchsorted(pairs, x[5])] = x[6]
-    use = cover.max(axis=0) >= LEAST_COVERED
+    use = cover.max(axis=0) >= least[pairs // n_items]
     out = []
     for i, x in enumerate(sets):
         chosen = use & (cover.argmax(axis=0) == i)
@@ -225,8 +228,8 @@ def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos
     return tuple(np.concatenate(z) for z in zip(*out, strict=True))
 
 
-def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
-    """(number of the text, item, words held) of every pair with a verified stretch."""
+def stretches_of(index: Index, texts: list[str], least: list[int]) -> Iterator[tuple[int, int, list[tuple[int, int, int, int, int]]]]:
+    """(number of the text, item, verified stretches: matches, passage from, to, text from, to in words) of every pair."""
     codes = np.frombuffer("\n\n".join(texts).encode("utf-32-le", "replace"), np.uint32)
     sizes = np.array([len(t) + 2 for t in texts])
     ends = np.cumsum(sizes)
@@ -235,7 +238,7 @@ def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
     if not len(at):
         return
     doc = np.searchsorted(ends, at, "right")
-    pair, t0, p0, t1, p1 = _bands(index, at - begin[doc], gram, item, pos, doc)
+    pair, t0, p0, t1, p1 = _bands(index, at - begin[doc], gram, item, pos, doc, np.asarray(least, np.int64))
     if not len(pair):
         return
     n_items = len(index.ids)
@@ -283,7 +286,55 @@ def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
             if not len(rows_left):
                 break
     for pr, ws in sorted(found.items()):
-        yield pr // n_items, pr % n_items, held_words(ws)
+        yield pr // n_items, pr % n_items, ws
+
+
+def pieces(text: str) -> list[tuple[int, str]]:
+    """A text in pieces of at most PIECE characters that overlap by OVERLAP, cut at blanks: (words before it, piece)."""
+    if len(text) <= PIECE:
+        return [(0, text)]
+    out, at, before = [], 0, 0
+    while True:
+        end = at + PIECE
+        if end < len(text):
+            cut = text.rfind(" ", at + PIECE // 2, end)
+            end = cut if cut > 0 else end
+        out.append((before, text[at : min(end, len(text))]))
+        if end >= len(text):
+            return out
+        nxt = text.rfind(" ", at + 1, end - OVERLAP) + 1
+        nxt = nxt if nxt > at else end
+        before += text.count(" ", at, nxt)
+        at = nxt
+
+
+def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
+    """(number of the text, item, words held) of every pair with a verified stretch.
+
+    Huge texts go in pieces and many small ones together, so that the memory for shared q-grams is bounded; in a piece half
+    of the coverage proposes a pair, since its other stretch may lie in another piece."""
+    found: dict[tuple[int, int], list] = {}
+    queue: list[tuple[int, int, str, int]] = []
+    size = 0
+
+    def flush() -> None:
+        for k, item, ws in stretches_of(index, [q[2] for q in queue], [q[3] for q in queue]):
+            d, before = queue[k][:2]
+            found.setdefault((d, item), []).extend((m, a0, a1, b0 + before, b1 + before) for m, a0, a1, b0, b1 in ws)
+        queue.clear()
+
+    for d, t in enumerate(texts):
+        parts = pieces(t)
+        for before, part in parts:
+            queue.append((d, before, part, LEAST_COVERED if len(parts) == 1 else LEAST_COVERED // 2))
+            size += len(part)
+            if size >= 2 * PIECE:
+                flush()
+                size = 0
+    if queue:
+        flush()
+    for (d, item), ws in sorted(found.items()):
+        yield d, item, held_words(ws)
 
 
 def held_words(stretches: list[tuple[int, int, int, int, int]]) -> int:

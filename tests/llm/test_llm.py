@@ -255,6 +255,22 @@ def test_leaks(spark):
     assert leaks.find_leaks(d, "doc_id", "text", i.where("1 = 0"), "item_id", "text").count() == 0
 
 
+def test_leaks_in_pieces(monkeypatch):
+    rng = random.Random(7)
+    vocab = [a + b for a in "bri cor dor fel gax hes ish jor kel lum".split() for b in "an bel cor dish em fin gas hul ik jo".split()]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(80))) for i in range(6)]
+    index = leaks.Index(items)
+    body = [t.split() for _, t in items]
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    texts = [" ".join(say(900) + body[0][5:45] + say(700)), " ".join(say(300) + body[1][3:15] + say(1500) + body[1][40:54] + say(100)), " ".join(say(2000)), " ".join(body[2][10:40])]
+    want = {(d, k): n for d, k, n in leaks.leaks_of(index, texts) if n >= leaks.WORDS}
+    assert set(want) == {(0, 0), (1, 1), (3, 2)}
+    monkeypatch.setattr(leaks, "PIECE", 2000)
+    monkeypatch.setattr(leaks, "OVERLAP", 600)
+    assert all(t[0] == 0 or texts[1].split(" ")[t[0] : t[0] + 2] == t[1].split(" ")[:2] for t in leaks.pieces(texts[1]))
+    assert {(d, k): n for d, k, n in leaks.leaks_of(index, texts) if n >= leaks.WORDS} == want
+
+
 def test_align_equals_plain_alignment():
     """The banded, batched alignment finds the score of an unbanded one when the band holds it."""
     rng = np.random.default_rng(1)
