@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonograin.llm.canon import canonical_column
-from sonograin.tables import maybe_broadcast
+from sonograin.tables import maybe_broadcast, shared_checkpoint
 
 #: Share of a word's corrected use by which it counts as acquired.
 ACQUIRED = 0.25
@@ -82,7 +82,8 @@ def reading_levels(df: DataFrame, labels: DataFrame, doc: list[str], text: str,
     Null and empty texts add no words.  Documents without a known word get the smallest level. No
     labels in: level null for all.  Labels of other documents are ignored; one label a document."""
     labels = labels.select(*doc, level).distinct()
-    counts = words_of(df, doc, text)
+    # read by the grades, the profiles and the calibration: counted once
+    counts = shared_checkpoint(words_of(df, doc, text))
     grades = word_grades(counts, labels, doc, level)
     described = df.select(*doc).distinct().join(profiles(counts, grades, doc), doc, "left")
     levels = calibrate(described, labels, doc, level)
