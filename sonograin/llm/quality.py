@@ -193,7 +193,7 @@ def _merge_group(common: frozenset, final: bool):
 def text_counts(df: DataFrame, key: str, text: str, common: list[str], levels: int = 3) -> DataFrame:
     """One row per document: (key, the COUNTS as BIGINT columns, distinct_grams). Null and empty texts have zeros.
 
-    `common`: frequent words. Keys must be unique; a null key counts as a document of its own. `levels`
+    `common`: frequent words. Keys must be unique and not null. `levels`
     of merging hold texts of up to CHUNK * FAN ** levels characters, more than a Spark string can have."""
     words = frozenset(w.lower() for w in common)
     t = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "\r\n?|[\u2028\u2029\u0085]", "\n")

@@ -65,6 +65,8 @@ MEASURES = {"th": "บาท น นาฬิกา โมง ปี วัน 
 _INVISIBLE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in INVISIBLE_RANGES) + "]")
 _CANDIDATE = re.compile(f"[{re.escape(TERMINATORS)}]+")
 _THAI_GAP = re.compile(r"(?<=\S)\s+(?=\S)")
+# A speaker's name and a reporting verb right after quoted speech.
+_NAMED_SPEAKER = re.compile(r"\s*[^\W\d_a-z][\w’'-]*(?:\s[^\W\d_a-z][\w’'-]*)?\s(?:said|asked|cried|replied|answered|shouted|exclaimed|demanded)\b")
 _CJK_STOP = frozenset("。！？｡．‼⁇⁈⁉…")
 
 
@@ -192,6 +194,8 @@ def _costs(text: str, unit: int, a: int, b: int, c: int, lang: str) -> tuple[flo
     if text[nxt] in ",;:，；：、،":
         return 3.0, 0.0
     closed = c > b
+    if cased and closed and run[0] in "!?" and _NAMED_SPEAKER.match(text, c):
+        return 3.0, 0.0
     if lang == "hi" and closed and _attributed_hi(text[c:]):
         return 3.0, 0.0
     if lang == "ar" and closed and text[c:].split()[:1] and text[c:].split()[0] in REPORTING["ar"].split():

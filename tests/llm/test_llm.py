@@ -12,6 +12,7 @@ CASES = [
     ("en", "Dr. Smith arrived. He spoke.", ["Dr. Smith arrived.", "He spoke."]),
     ("en", "At 8.20 a.m. Peltor came. She left before 2 a.m. The door shut.", ["At 8.20 a.m. Peltor came.", "She left before 2 a.m.", "The door shut."]),
     ("en", "“Stop the dog!” cried Ann. “We fed it. They hid,” said Bob.", ["“Stop the dog!” cried Ann.", "“We fed it.", "They hid,” said Bob."]),
+    ("en", "“Where is it?” Ann Hill asked. “Here!” They ran.", ["“Where is it?” Ann Hill asked.", "“Here!”", "They ran."]),
     ("en", "One bell rang.The cost was $3.50.Mrs. Hill saw track_3.mp3.", ["One bell rang.", "The cost was $3.50.", "Mrs. Hill saw track_3.mp3."]),
     ("en", "M. C. Osb (what a fool!) waited ... and left Mt. Vel, cf. pp. 6–9. The O.R.T. office shut, ropes, etc. Fig. 8 showed it.", ["M. C. Osb (what a fool!) waited ... and left Mt. Vel, cf. pp. 6–9.", "The O.R.T. office shut, ropes, etc.", "Fig. 8 showed it."]),
     ("de", "„Wo ist die Laterne?“, fragte Wen. Er kam am 4. Mai z. B. für ca. 3,5 Taler.", ["„Wo ist die Laterne?“, fragte Wen.", "Er kam am 4. Mai z. B. für ca. 3,5 Taler."]),
