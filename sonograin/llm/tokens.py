@@ -10,7 +10,9 @@ side by side: no merge can cross such a place, so rows stay short in every scrip
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 #: Rows wider than this merge all occurrences of their least pair in a round (the same result: a pair that
 #: holds a new token has a higher rank than the one that made it).
 WIDE = 48
+#: Characters from which a text is encoded by itself, some pretokens at a time.
+LONG = 1 << 20
 #: Most pretokens remembered between batches of a worker.
 REMEMBERED = 400_000
 #: Least rows of a matrix bucket that are worth a matrix of their own width.
@@ -177,32 +181,51 @@ class Bpe:
                     out[p] = ids
         return out
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text. Null and empty texts have the empty list."""
-        known, words, new = self.known, [], {}
-        for t in texts:
-            found = self.pattern.findall(t) if t else []
-            words.append(found)
-            for w in found:
-                if w not in known:
-                    new[w] = None
-        parts = {w: self.pieces(w) for w in new}
+    def lookup(self, words: set[str]) -> dict[str, list[int]]:
+        """Ids of pretokens; those met before are remembered, at most REMEMBERED of them."""
+        known = self.known
+        parts = {w: self.pieces(w) for w in words if w not in known}
         ids = self.encode_pieces(list({p for ps in parts.values() for p in ps}))
         fresh = {w: [x for p in ps for x in ids[p]] for w, ps in parts.items()}
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-            missing = {w for ws in words for w in ws} - fresh.keys()
-            if missing:
-                parts = {w: self.pieces(w) for w in missing}
-                ids = self.encode_pieces(list({p for ps in parts.values() for p in ps}))
-                fresh |= {w: [x for p in ps for x in ids[p]] for w, ps in parts.items()}
-        known.update(fresh)
-        return [[x for w in ws for x in known[w]] for ws in words]
+        if len(known) + len(fresh) <= REMEMBERED:
+            known.update(fresh)
+            return known
+        table = {w: known[w] for w in words if w in known} | fresh
+        self.known = fresh if len(fresh) <= REMEMBERED else {}
+        return table
+
+    def encode(self, texts: list[str | None]) -> list:
+        """Ids of each text. Null and empty texts have the empty list."""
+        found = [self.pattern.findall(t) if t and len(t) <= LONG else [] for t in texts]
+        table = self.lookup({w for ws in found for w in ws})
+        out = [[x for w in ws for x in table[w]] for ws in found]
+        for i, t in enumerate(texts):
+            if t and len(t) > LONG:
+                out[i] = self.encode_long(t)
+        return out
+
+    def encode_long(self, text: str) -> array:
+        """Ids of one huge text, its pretokens taken some at a time."""
+        out, matches = array("i"), self.pattern.finditer(text)
+        while words := [m.group() for m in islice(matches, 100_000)]:
+            table = self.lookup(set(words))
+            for w in words:
+                out.extend(table[w])
+        return out
 
 
 _LOADED: dict[tuple[str, str], Bpe] = {}
 
 
+def _lists(rows: list) -> pa.Array:
+    """Rows of ids, lists or arrays, as an Arrow list array."""
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int64)
+    flat = np.empty(int(ends[-1]), np.int32)
+    for r, a, b in zip(rows, ends, ends[1:], strict=False):
+        flat[a:b] = r
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+
+
 def encode_texts(df: DataFrame, key: str, text: str, path: str, pattern: str, batch: int = 512) -> DataFrame:
     """(key, ids ARRAY<INT>): token ids of every row's whole text, without special tokens.
 
@@ -215,7 +238,7 @@ def encode_texts(df: DataFrame, key: str, text: str, path: str, pattern: str, ba
             for i in range(0, b.num_rows, batch):
                 part = b.slice(i, batch)
                 ids = bpe.encode(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["__key", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids)], names=["__key", "ids"])
 
     out = df.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text")).mapInArrow(run, f"__key {kind}, ids array<int>")
     return out.select(F.col("__key").alias(key), "ids")

@@ -294,7 +294,7 @@ def test_align_equals_plain_alignment():
         assert got == pytest.approx(best, abs=1e-5) and m[r] >= best - 1e-6
 
 
-def test_tokens(spark):
+def test_tokens(spark, monkeypatch):
     pytest.importorskip("public_tokenizers")
     import base64
 
@@ -311,6 +311,9 @@ def test_tokens(spark):
     texts += ["".join(rng.choice("abcdefgh ()[]{}<>=+-'`é語\n\t") for _ in range(rng.randrange(400))) for _ in range(60)]
     bpe = tokens.Bpe(path, pattern)
     assert bpe.encode(texts) == [ref.encode_ordinary(t) if t else [] for t in texts]
+    monkeypatch.setattr(tokens, "LONG", 100)
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    assert [list(x) for x in tokens.Bpe(path, pattern).encode(texts)] == [ref.encode_ordinary(t) if t else [] for t in texts]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(0, "", "x")], "doc_id long, text string, ids string")
     got = tokens.encode_texts(df, "doc_id", "text", path, pattern).collect()
     assert len(got) == len(texts) + 1 and all(r["ids"] == (ref.encode_ordinary(texts[r["doc_id"]]) if texts[r["doc_id"]] else []) for r in got)
