@@ -319,6 +319,15 @@ SELECT doc_id, regexp_replace(regexp_replace(lower(replace(replace(replace(repla
 WHERE text IS NOT NULL AND NOT regexp_matches(text, '[„«»‚‹›−]')
 """)
 def folded_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RP-08: documents with quote, dash and ellipsis classes folded."""
+    """RP-08: documents without low or pointed quotes and minus signs, the rest of the classes folded; folded_text_all has every document."""
     df = table(spark, sf_dir, "documents").where("text IS NOT NULL").where(~F.col("text").rlike("[„«»‚‹›−]"))
     return df.select("doc_id", F.regexp_replace(tx.fold(F.col("text")), r"[\t\n\x0B\f\r ]+", " ").alias("folded"))
+
+
+@query(r"""
+SELECT doc_id, regexp_replace(lower(replace(translate(text, '“”„«»‘’‚‹›—–−', repeat('"', 5) || repeat('''', 5) || '---'), '…', '...')), '[\t\n\x0B\f\r ]+', ' ', 'g') AS folded FROM documents WHERE text IS NOT NULL
+""")
+def folded_text_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RP-08: every document with all quote, dash and ellipsis classes folded."""
+    df = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    return df.select("doc_id", F.regexp_replace(tx.fold(F.col("text")), r"[\t\n\x0B\f\r ]+", " ").alias("folded"))
