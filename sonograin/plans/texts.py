@@ -192,12 +192,24 @@ SELECT book, chapter, id, lower(regexp_replace(trim(regexp_replace(lower(text),
   sha256(text) AS digest FROM c WHERE text IS NOT NULL AND NOT regexp_matches(text, '[(\\[]')
 """)
 def text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SC-20, SC-22, SC-31: slug, natural sort key and digest of every record without brackets."""
+    """SC-20, SC-22, SC-31: slug, natural sort key and digest of every record without brackets; text_keys_all has all records."""
     t = F.col("text")
     df = canonical(spark, sf_dir).where(t.isNotNull() & ~t.rlike(r"[(\[]"))
     return df.select(*REC, tx.slug(t).alias("slug"), tx.natural_key(t).alias("natural_key"), F.sha2(t, 256).alias("digest"))
 
 
+@query(f"""
+WITH c AS ({CANON_SQL})
+SELECT book, chapter, id, trim(regexp_replace(lower(regexp_replace(regexp_replace(text, '\\([^)]*\\)', '', 'g'), '\\[[^\\]]*\\]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-') AS slug,
+  array_to_string(list_transform(regexp_extract_all(lower(text), '[0-9]+|[^0-9]+'), lambda p: CASE WHEN regexp_full_match(p, '[0-9]+') THEN lpad(p, 12, '0') ELSE p END), '') AS natural_key,
+  sha256(text) AS digest FROM c WHERE text IS NOT NULL
+""")
+def text_keys_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC-20, SC-22, SC-31: slug, natural sort key and digest of every record."""
+    t = F.col("text")
+    return canonical(spark, sf_dir).where(t.isNotNull()).select(*REC, tx.slug(t).alias("slug"), tx.natural_key(t).alias("natural_key"), F.sha2(t, 256).alias("digest"))
+
+
 @query("""
 WITH s AS (SELECT DISTINCT word FROM acoustic_words WHERE word IS NOT NULL), a AS (SELECT word, regexp_replace(lower(word), '[^a-z]', '', 'g') AS w FROM s),
 b AS (SELECT *, length(w) AS n, greatest(1, CASE WHEN w LIKE '%e' AND w NOT LIKE '%le' AND length(w) > 2 THEN greatest(1, len(regexp_extract_all(w, '[aeiouy]+')) - 1) ELSE len(regexp_extract_all(w, '[aeiouy]+')) END) AS syl FROM a)

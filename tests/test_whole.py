@@ -15,3 +15,14 @@ def test_folded_text_of_every_document(spark, tmp_path):
     d = put(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id bigint, text string"))
     got = {r["doc_id"]: r["folded"] for r in __spark_entry__.queries()["folded_text_all"](spark, d).collect()}
     assert got == {0: "\"ja\" 'so'", 1: "\" oui \" ' non '", 2: "-3 - 4", 3: "plain..."}
+
+
+def test_text_keys_of_records_with_brackets(spark, tmp_path):
+    texts = ["The Book (2nd ed.) of X!", "A [note] b", "x (a [b] c) y", "p [q (r] s) t", "open ( end", "none", None]
+    rows = [("b", 1, i, f"s-{i}", 0, "p", t, False, False, False) for i, t in enumerate(texts)]
+    schema = "book string, chapter int, seq int, id string, elem_idx int, tag string, text string, is_heading boolean, is_tabular boolean, is_footnote boolean"
+    d = put(spark, tmp_path, canonical_sentences=(rows, schema))
+    got = {r["id"]: (r["slug"], r["natural_key"], len(r["digest"])) for r in __spark_entry__.queries()["text_keys_all"](spark, d).collect()}
+    slugs = ["the-book-of-x", "a-b", "x-y", "p-q-t", "open-end", "none"]
+    assert {k: v[0] for k, v in got.items()} == {f"s-{i}": s for i, s in enumerate(slugs)}
+    assert got["s-0"][1:] == ("the book (000000000002nd ed.) of x!", 64)
