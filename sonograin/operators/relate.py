@@ -6,9 +6,13 @@ follows; as-of joins are one sorted window over the union of both sides."""
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sonograin.functions.text import natural_key
 from sonograin.operators import blocks
@@ -133,19 +137,35 @@ def ngram_starts(seq: DataFrame, keys: list[str], pos: str, token: str, n: int)
     return grams.select(*keys, F.col(pos).alias("start"), F.array_join("__g", " ").alias("gram"))
 
 
+def _starts(head: int):
+    def run(phrases: pd.DataFrame, seq: pd.DataFrame) -> pd.DataFrame:
+        seq = seq.sort_values("start", kind="stable")
+        words = seq["__t"].tolist()
+        heads: dict[tuple, list[int]] = defaultdict(list)
+        for i in range(len(words)):
+            for k in range(1, min(head, len(words) - i) + 1):
+                heads[tuple(words[i : i + k])].append(i)
+        rows, places = [], []
+        for r, w in enumerate(map(list, phrases["__w"])):
+            at = [i for i in heads.get(tuple(w[:head]), ()) if words[i : i + len(w)] == w]
+            rows += [r] * len(at)
+            places += at
+        return phrases.drop(columns="__w").iloc[rows].assign(start=seq["start"].iloc[places].to_numpy())
+
+    return run
+
+
 def exact_starts(phrases: DataFrame, phrase_key: list[str], tokens: str, seq: DataFrame, keys: list[str], pos: str, token: str) -> DataFrame:
     """JN-14: every position at which a phrase's tokens stand in a sequence of the same keys.
 
-    The first min(3, length) tokens meet by hash, the rest is compared in the window; a phrase of no tokens has none."""
-    ph = phrases.where(F.size(tokens) > 0).withColumn("__n", F.size(tokens)).withColumn("__h", F.array_join(F.slice(tokens, 1, 3), " "))
-    longest = 64
-    w = Window.partitionBy(*keys).orderBy(pos).rowsBetween(0, longest - 1)
-    s = seq.withColumn("__w", F.collect_list(F.col(token)).over(w))
-    heads = s.select(*keys, F.col(pos).alias("start"), "__w", F.explode(F.sequence(F.lit(1), F.least(F.lit(3), F.size("__w")))).alias("__k"))
-    heads = heads.withColumn("__h", F.array_join(F.slice("__w", 1, F.col("__k")), " "))
-    joined = heads.join(ph.select(*keys, *[c for c in phrase_key if c not in keys], tokens, "__n", "__h"), [*keys, "__h"])
-    ok = (F.col("__k") == F.least(F.col("__n"), F.lit(3))) & (F.slice("__w", F.lit(1), F.least(F.col("__n"), F.lit(longest))) == F.slice(tokens, 1, longest))
-    return joined.where(ok).select(*keys, *[c for c in phrase_key if c not in keys], "start")
+    The first min(3, length) tokens meet by hash, all of them are compared, whatever the length; a phrase of no tokens, or with
+    a null one, has none. Null keys meet nothing. A kernel: it holds one sequence and its phrases in memory."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    ph = phrases.where(known & (F.size(tokens) > 0) & ~F.exists(tokens, lambda x: x.isNull()))
+    ph = ph.select(*keys, *[c for c in phrase_key if c not in keys], F.col(tokens).alias("__w"))
+    s = seq.where(known & F.col(pos).isNotNull()).select(*keys, F.col(pos).alias("start"), F.col(token).alias("__t"))
+    schema = StructType([*ph.drop("__w").schema.fields, s.schema["start"]])
+    return ph.groupBy(*keys).cogroup(s.groupBy(*keys)).applyInPandas(_starts(3), schema)
 
 
 def repeats(df: DataFrame, keys: list[str], order: str, tokens: Column, least: int = 4) -> DataFrame:

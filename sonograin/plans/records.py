@@ -120,7 +120,7 @@ s AS (SELECT DISTINCT book, chapter, id, list_filter(list_transform(string_split
 SELECT s.book, s.chapter, s.id, g.start, count(*) OVER (PARTITION BY s.book, s.chapter, s.id) AS places FROM s JOIN g ON s.book = g.book AND s.chapter = g.chapter AND g.gram = array_to_string(s.w[1:3], ' ') WHERE len(s.w) >= 3
 """)
 def passage_locate_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-14, SQ-04: every place in the chapter's audio at which a sentence's first three words stand."""
+    """JN-14 on heads, SQ-04: every place in the chapter's audio at which a sentence's first three words stand; passage_locate_whole compares all."""
     w = table(spark, sf_dir, "acoustic_words").where("word IS NOT NULL").groupBy(*CH, "token_index").agg(F.min("word").alias("word"))
     w = w.select(*CH, "token_index", F.regexp_replace(F.lower("word"), "[^a-z0-9]", "").alias("t")).where("t <> ''")
     g = relate.ngram_starts(w, CH, "token_index", "t", 3)
@@ -130,6 +130,24 @@ def passage_locate_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(g, [*CH, "gram"]).select(*REC, "start", F.count("*").over(Window.partitionBy(*REC)).alias("places"))
 
 
+@query(f"""
+WITH w AS (SELECT book, chapter, token_index, regexp_replace(lower(min(word)), '[^a-z0-9]', '', 'g') AS t FROM acoustic_words WHERE word IS NOT NULL GROUP BY 1, 2, 3),
+k AS (SELECT book, chapter, token_index, t, row_number() OVER (PARTITION BY book, chapter ORDER BY token_index) AS p FROM w WHERE t <> ''),
+l AS (SELECT book, chapter, list(t ORDER BY p) AS ws FROM k GROUP BY 1, 2),
+s AS (SELECT DISTINCT book, chapter, id, list_filter(list_transform(string_split_regex(lower(source_text), '[\\t\\n\\x0B\\f\\r ]+'), lambda x: regexp_replace(x, '[^a-z0-9]', '', 'g')), lambda x: x <> '') AS w FROM aligned_sentences WHERE source_text IS NOT NULL)
+SELECT s.book, s.chapter, s.id, k.token_index AS start, count(*) OVER (PARTITION BY s.book, s.chapter, s.id) AS places
+FROM s JOIN k ON s.book = k.book AND s.chapter = k.chapter AND k.t = s.w[1] JOIN l ON s.book = l.book AND s.chapter = l.chapter WHERE l.ws[k.p : k.p + len(s.w) - 1] = s.w
+""")
+def passage_locate_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-14: every place in the chapter's audio at which all words of a sentence stand, sentences of any length."""
+    w = table(spark, sf_dir, "acoustic_words").where("word IS NOT NULL").groupBy(*CH, "token_index").agg(F.min("word").alias("word"))
+    w = w.select(*CH, "token_index", F.regexp_replace(F.lower("word"), "[^a-z0-9]", "").alias("t")).where("t <> ''")
+    ws = F.filter(F.transform(F.split(F.lower("source_text"), r"[\t\n\x0B\f\r ]+"), lambda x: F.regexp_replace(x, "[^a-z0-9]", "")), lambda x: x != "")
+    s = table(spark, sf_dir, "aligned_sentences").where("source_text IS NOT NULL").select(*REC, ws.alias("w")).distinct()
+    found = relate.exact_starts(s, REC, "w", w, CH, "token_index", "t")
+    return found.select(*REC, "start", F.count("*").over(Window.partitionBy(*REC)).alias("places"))
+
+
 @query("SELECT o_orderkey AS k, 'left_only' AS side FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT DISTINCT l_orderkey, 'right_only' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")
 def set_ops_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SE-02: order keys on one side only."""

@@ -1,6 +1,7 @@
 """Queries and operators over what shortcuts would leave out."""
 
 import __spark_entry__
+from sonograin.operators import relate
 
 
 def put(spark, folder, **tables):
@@ -26,3 +27,22 @@ def test_text_keys_of_records_with_brackets(spark, tmp_path):
     slugs = ["the-book-of-x", "a-b", "x-y", "p-q-t", "open-end", "none"]
     assert {k: v[0] for k, v in got.items()} == {f"s-{i}": s for i, s in enumerate(slugs)}
     assert got["s-0"][1:] == ("the book (000000000002nd ed.) of x!", 64)
+
+
+def test_exact_starts_compares_long_phrases_to_the_end(spark):
+    toks = ["x", *[f"w{i}" for i in range(100)], "y", *[f"w{i}" for i in range(90)], "z"]
+    seq = spark.createDataFrame([("k", i, t) for i, t in enumerate(toks)] + [(None, 0, "x")], "k string, i int, t string")
+    ph = spark.createDataFrame([("k", 1, [f"w{i}" for i in range(100)]), ("k", 2, [f"w{i}" for i in range(90)]), ("k", 3, [*[f"w{i}" for i in range(90)], "q"]), ("k", 4, ["w89", "z", "x"]), (None, 5, ["x"])], "k string, p int, w array<string>")
+    got = {(r["p"], r["start"]) for r in relate.exact_starts(ph, ["p"], "w", seq, ["k"], "i", "t").collect()}
+    assert got == {(1, 1), (2, 1), (2, 102)}
+
+
+def test_passages_stand_with_all_their_words(spark, tmp_path):
+    words = "he went home again . he went home late . yes he went".split()
+    texts = {"s-1": "He went home again.", "s-2": "He went home!", "s-3": "Yes.", "s-4": "He went", "s-5": "He went home never", "s-6": "..."}
+    d = put(
+        spark, tmp_path, acoustic_words=([("b", 1, i, w) for i, w in enumerate(words)], "book string, chapter int, token_index bigint, word string"),
+        aligned_sentences=([("b", 1, k, t) for k, t in texts.items()], "book string, chapter int, id string, source_text string"),
+    )
+    got = {(r["id"], r["start"], r["places"]) for r in __spark_entry__.queries()["passage_locate_whole"](spark, d).collect()}
+    assert got == {("s-1", 0, 1), ("s-2", 0, 2), ("s-2", 5, 2), ("s-3", 10, 1), ("s-4", 0, 3), ("s-4", 5, 3), ("s-4", 11, 3)}
