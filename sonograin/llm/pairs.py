@@ -51,8 +51,11 @@ CLOSES, LEAST_SEEN = 0.02, 20
 SHORT = 1.15
 
 
-def _packed(data: bytes, prompt: bytes | None) -> int:
-    params = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False, strategy=zstandard.STRATEGY_BTULTRA, window_log=17, hash_log=12, chain_log=12, search_log=5, min_match=3, target_length=64)
+def _packed(data: bytes, prompt: bytes | None, size: int) -> int:
+    """Bytes of `data` behind the prompt; window and tables hold all of the `size` bytes of prompt and response."""
+    bits = max(11, size.bit_length())
+    logs = {"window_log": min(max(17, bits), zstandard.WINDOWLOG_MAX), "hash_log": min(bits + 1, zstandard.HASHLOG_MAX), "chain_log": min(bits + 1, zstandard.CHAINLOG_MAX)}
+    params = zstandard.ZstdCompressionParameters(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False, strategy=zstandard.STRATEGY_BTULTRA, search_log=5, min_match=3, target_length=64, **logs)
     d = zstandard.ZstdCompressionDict(prompt, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if prompt else None
     return len(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress(data))
 
@@ -67,8 +70,9 @@ def copied_share(prompt: str, response: str) -> float:
         return 0.0 if a == b and b else 1.0
     if len(set(b) & set(a)) < 0.3 * len(set(b)):
         return 1.0
-    alone, fixed = _packed(b, None), _packed(b"", None)
-    return max(0, _packed(b, a) - fixed) / max(1, alone - fixed)
+    size = len(a) + len(b)
+    alone, fixed = _packed(b, None, size), _packed(b"", None, size)
+    return max(0, _packed(b, a, size) - fixed) / max(1, alone - fixed)
 
 
 def is_refusal(response: str) -> bool:
