@@ -83,13 +83,13 @@ def _line(text: str, out: list[int], common: frozenset) -> None:
         h = zlib.crc32(g.encode("utf-8", "replace"))
         out[len(COUNTS) + (h >> 6) % BITMAP] |= _BIT[h & 63]
     # the line's form
-    cells = [c for c in _FIELD.split(s.strip("|")) if c.strip()] if len(s) < 400 else []
+    cells = [c for c in _FIELD.split(s.strip("|")) if c.strip()]
     size = sum(map(len, words))
     rule = bool(re.fullmatch(r"[\s|:+\-=_]+", s)) and "|" in s
     numeric = sum(any(map(str.isdigit, c)) for c in cells)
     spaced_row = bool(re.search(r"\S(?:\t+| {2,}|\s*\|\s*)\S", s)) or s.count(";") >= 3 or (s.count(",") >= 2 and not re.search(r",\s", s))
     short_cells = bool(cells) and size / len(cells) <= 24
-    leader = bool(_LEADER.search(s))
+    leader = len(words) <= 14 and bool(_LEADER.search(s))  # an entry of a contents list or index; longer lines are none
     bullet = bool(_BULLET.match(text))
     body = _BULLET.sub("", s, count=1)
     n_body = len(_WORD.findall(body)) if not wide else max(1, wide // 3)
@@ -98,7 +98,7 @@ def _line(text: str, out: list[int], common: frozenset) -> None:
     piped = s.startswith("|") and s.endswith("|") and len(cells) >= 2
     if rule or (not code and piped and short_cells) or (not code and len(cells) >= 3 and spaced_row and short_cells and not leader and (numeric >= 1 or len(cells) >= 4 or s.count("|") >= 2 or "\t" in s) and not (full and (not numeric or len(words) > 2 * len(cells)))):
         add["row_lines"], add["row_chars"], add["field_cells"] = 1, visible, len(cells)
-    elif words and ((leader and len(words) <= 14) or (not full and (n_body <= 4 or (bullet and n_body <= 7)) and (not wide or wide <= 16)) or (bullet and n_body <= 3) or (not full and _GLOSS.match(s) and len(words) <= 9 and wide <= 20)):
+    elif words and (leader or (not full and (n_body <= 4 or (bullet and n_body <= 7)) and (not wide or wide <= 16)) or (bullet and n_body <= 3) or (not full and _GLOSS.match(s) and len(words) <= 9 and wide <= 20)):
         add["entry_lines"], add["entry_chars"] = 1, visible
     elif words:
         add["prose_chars"] = visible
@@ -136,11 +136,14 @@ def merge(a: tuple, b: tuple, common: frozenset) -> tuple:
     if b[1] is None:
         tail = a[2] + b[2]
         if len(tail) > 2 * PIECE and a[1] is not None:  # a line without end: fold whole words of it
-            at = tail.rfind(" ", 0, len(tail) - PIECE)
-            at = at if at > 0 else len(tail) - PIECE
-            lines = counts[_AT["lines"]]
+            most = len(tail) - PIECE
+            at = max(tail.rfind(c, most - 1024, most) for c in "\t|;,")  # whole cells, if it has any
+            at = at if at > 0 else tail.rfind(" ", 0, most)
+            at = at if at > 0 else most
+            whole = [_AT["lines"], _AT["row_lines"]]
+            kept = counts[whole]
             counts = _with_line(counts, tail[:at], common)
-            counts[_AT["lines"]] = lines
+            counts[whole] = kept
             tail = tail[at:]
         return counts, a[1], tail
     middle = a[2] + b[1]
