@@ -59,14 +59,43 @@ def boundaries(c: DataFrame) -> DataFrame:
 
 def typography(c: DataFrame) -> DataFrame:
     """AU-03: missing element numbers, repeated quotation marks, chapters in which over 70 % of at least 15 prose
-    paragraphs are one sentence."""
+    paragraphs are one sentence, runs of such paragraphs."""
     per_row = _rules(c, [("no_element", F.col("elem_idx").isNull(), "error"), ("repeated_quotes", F.col("text").rlike("[“\"”]{2,}"), "error")])
     runs = run_ids(c, CH, ["seq", "id"], F.col("elem_idx")).groupBy(*CH, "run").agg(F.count("*").alias("n"), F.min_by("is_heading", "seq").alias("h"), F.min_by("text", "seq").alias("t"))
     prose = runs.where(~F.coalesce("h", F.lit(False)))
     single = (F.col("n") == 1) & ~F.coalesce(F.trim("t").rlike("^[“\"‘']"), F.lit(False))
     dense = prose.groupBy(*CH).agg(F.count("*").alias("p"), F.count_if(single).alias("s"))
     over = _find(dense, "one_sentence_paragraphs", (F.col("p") >= 15) & (F.col("s") > 0.7 * F.col("p")), "error", F.concat_ws("/", F.col("s"), F.col("p")), ident=False)
-    return per_row.unionByName(over)
+    return per_row.unionByName(over).unionByName(single_sentence_runs(c))
+
+
+def single_sentence_runs(c: DataFrame, least: int = 8) -> DataFrame:
+    """AU-03, WN-06: runs of at least `least` paragraphs of one sentence each that are plain prose (no heading, dialogue, list item,
+    number, short line or line with a final colon).
+
+    Exempt: after a colon, under a heading of terms (as in the reference not for a run that ends the chapter), acknowledgments,
+    and runs with enough semicolons, questions, structured lines or opening coordinators."""
+    w, by = Window.partitionBy(*CH).orderBy("g"), Window.partitionBy(*CH).orderBy("seq", "id", "elem_idx", "text")
+    t = F.coalesce("text", F.lit(""))
+    c = c.withColumn("__y", (F.row_number().over(by) <= 5) & F.lower(t).contains("acknowledgment"))
+    groups = run_ids(c, CH, ["seq", "id", "elem_idx", "text"], F.col("elem_idx")).groupBy(*CH, F.col("run").alias("g")).agg((F.count("*") == 1).alias("one"), F.min_by(F.struct("id", t.alias("text"), F.coalesce("is_heading", F.lit(False)).alias("h")), "seq").alias("x"), F.max("__y").alias("thanks"))
+    x, one = F.regexp_replace(F.col("x.text"), r"^\s+|\s+$", ""), F.col("one")
+    head = one & F.col("x.h")
+    aside = F.col("x.h") | x.rlike("^[“\"‘']|[”\"’]$") | x.rlike(r"^(\d+[.)]|[a-zA-Z][.)]|[-•*])\s+") | x.rlike(r"^[\d,.]+\s+") | (F.size(F.split(x, r"\s+")) < 6) | x.endswith(":")
+    groups = groups.withColumns({
+        "ok": one & ~aside, "colon": F.coalesce(F.lag(one & x.endswith(":")).over(w), F.lit(False)), "final": F.max("g").over(Window.partitionBy(*CH)), "thanks": F.max("thanks").over(Window.partitionBy(*CH)),
+        "terms": F.coalesce(F.last(F.when(head, F.lower(x).rlike("terminology|glossary|definitions|key terms")), ignorenulls=True).over(w), F.lit(False)),
+    })
+    raw = F.col("x.text")
+    runs = run_ids(groups, CH, ["g"], F.col("ok")).where("ok").groupBy(*CH, "run").agg(
+        F.count("*").alias("n"), F.min_by("colon", "g").alias("colon"), F.max("thanks").alias("thanks"), (F.min_by("terms", "g") & (F.max("g") < F.first("final"))).alias("terms"),
+        F.count_if(raw.contains(";")).alias("semicolons"), F.count_if(x.endswith("?")).alias("questions"), F.count_if(raw.rlike("[:=×]")).alias("structured"),
+        F.count_if(x.rlike("^(And|So|But|Or|Yet|For) ")).alias("coordinated"), F.sort_array(F.collect_list(F.struct("g", F.coalesce("x.id", F.lit("?")).alias("id")))).alias("ids"),
+    )
+    n = F.col("n")
+    exempt = F.col("thanks") | F.col("colon") | F.col("terms") | (F.col("semicolons") / n >= 0.7) | (F.col("questions") / n >= 0.5) | (F.col("structured") / n >= 0.4) | (F.col("coordinated") / n >= 0.35)
+    first = F.concat(n.cast("string"), F.lit(": "), F.array_join(F.transform(F.slice("ids", 1, 4), lambda r: r["id"]), ", "))
+    return _find(runs.where(n >= least), "one_sentence_run", ~exempt, "error", first, ident=False)
 
 
 def analysis_contract(c: DataFrame, f: DataFrame) -> DataFrame:

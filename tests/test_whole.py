@@ -1,7 +1,7 @@
 """Queries and operators over what shortcuts would leave out."""
 
 import __spark_entry__
-from sonograin.operators import relate
+from sonograin.operators import audit, relate
 
 
 def put(spark, folder, **tables):
@@ -46,3 +46,27 @@ def test_passages_stand_with_all_their_words(spark, tmp_path):
     )
     got = {(r["id"], r["start"], r["places"]) for r in __spark_entry__.queries()["passage_locate_whole"](spark, d).collect()}
     assert got == {("s-1", 0, 1), ("s-2", 0, 2), ("s-2", 5, 2), ("s-3", 10, 1), ("s-4", 0, 3), ("s-4", 5, 3), ("s-4", 11, 3)}
+
+
+def test_runs_of_single_sentence_paragraphs(spark):
+    plain, rows = "This line stands alone here in print.", []
+
+    def chapter(n, texts, before=(), after=("Two of one.", "The other of it.") * 20):
+        paired = [(t, 900 + i // 2, False) for i, t in enumerate(after)]
+        for i, (t, e, h) in enumerate([*before, *[(t, 100 + i, False) for i, t in enumerate(texts)], *paired]):
+            rows.append(("b", n, i, f"s-{i}", e, "p", t, h, False, False))
+
+    chapter(1, [plain] * 8)
+    chapter(2, [plain] * 7)
+    chapter(3, [plain] * 8, [("The following lines all belong to this:", 1, False)])
+    chapter(4, [plain] * 8, [("Glossary", 1, True)])
+    chapter(5, [plain] * 8, [("Glossary", 1, True)], ())
+    chapter(6, ["One part of this; the other part of it."] * 6 + [plain] * 2)
+    chapter(7, ["Does this line stand alone in print?"] * 4 + [plain] * 4)
+    chapter(8, ["But this line stands alone in print."] * 3 + [plain] * 5)
+    chapter(9, [plain] * 4 + ["“This line is spoken by someone here.”"] + [plain] * 4)
+    chapter(10, [plain] * 8, [("Acknowledgments", 1, True)])
+    chapter(11, ["This = that and the other of it."] * 4 + [plain] * 5)
+    c = spark.createDataFrame(rows, "book string, chapter int, seq int, id string, elem_idx int, tag string, text string, is_heading boolean, is_tabular boolean, is_footnote boolean")
+    got = {(r["chapter"], r["detail"]) for r in audit.typography(c).where("rule = 'one_sentence_run'").collect()}
+    assert got == {(1, "8: s-0, s-1, s-2, s-3"), (5, "8: s-1, s-2, s-3, s-4")}
