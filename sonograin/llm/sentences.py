@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -127,11 +129,19 @@ def _attributed_hi(rest: str) -> bool:
     return bool(m) and m.group().split()[-1:] != [] and m.group().split()[-1] in REPORTING["hi"].split()
 
 
+@lru_cache(maxsize=8)
+def _places(text: str, mark: str) -> list[int]:
+    """Where a quotation mark stands in the text; of ' only what is no apostrophe within a word."""
+    return [m.start() for m in re.finditer(r"(?<!\w)'|'(?!\w)" if mark in "'＇" else re.escape(mark), text)]
+
+
+def _before(text: str, upto: int, mark: str) -> int:
+    return bisect_left(_places(text, mark), upto)
+
+
 def _quoted(text: str, upto: int, mark: str) -> bool:
     """Whether a straight mark at `upto` closes: an odd number of such marks stands before it."""
-    if mark in "'＇":
-        return len(re.findall(r"(?<!\w)'|'(?!\w)", text[max(0, upto - 2000) : upto])) % 2 == 1
-    return text.count(mark, max(0, upto - 20000), upto) % 2 == 1
+    return _before(text, upto, mark) % 2 == 1
 
 
 def _closing_run(text: str, at: int, lang: str) -> int:
@@ -153,7 +163,7 @@ def _closing_run(text: str, at: int, lang: str) -> int:
             if lang != "de" and not (text.count("„", 0, j) > text.count("“", 0, j)):
                 break
         elif c == "«":
-            if lang == "fr" or text.count("»", max(0, j - 500), j) <= text.count("«", max(0, j - 500), j):
+            if lang == "fr" or _before(text, j, "»") <= _before(text, j, "«"):
                 break
         elif c == "»":
             if lang == "de" and text.count("»", 0, j) <= text.count("«", 0, j):

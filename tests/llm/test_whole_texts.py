@@ -5,6 +5,7 @@ import random
 import pytest
 
 from sonograin.llm import pairs, quality
+from sonograin.llm.sentences import sentence_spans
 
 
 @pytest.mark.parametrize("n", [5_000, 30_000, 100_000])
@@ -31,3 +32,10 @@ def test_tables_of_wide_rows(spark):
     assert got[4][0] is None and got[4][1] == 0 and got[4][3]
     assert {k: v for k, v in got.items() if k in (1, 2, 3, 5)} == dict.fromkeys((1, 2, 3, 5), ("table", 6, 540, False))
     assert got[6] == ("table", 3, 36_000, False) and got[7] == ("table", 2, 180, False) and got[8][1:] == (1, 30_000, False) and got[9][1:] == (5, 605, False)
+
+
+@pytest.mark.parametrize(("lang", "opening", "closing", "n"), [("en", '"', '"', 900), ("en", "'", "'", 90), ("de", "»", "«", 30)])
+def test_long_speech_is_closed(lang, opening, closing, n):
+    text = "She began. " + opening + "Here it went on and on. " * n + "It ended." + closing + " Then all left."
+    units = [text[a:b] for a, b in sentence_spans(text, lang)]
+    assert units[-2:] == ["It ended." + closing, "Then all left."] and len(units) >= n + 2
