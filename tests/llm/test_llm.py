@@ -200,26 +200,88 @@ def test_kinds(spark):
     assert quality.text_counts(df.where("1 = 0"), "doc_id", "text", []).count() == 0
 
 
-def test_chunks_merge_to_the_whole(spark, monkeypatch):
+def plain_counts(line, common):
+    """The sums of one line, said plainly."""
+    s, words = line.strip(), quality._WORD.findall(line)
+    low = [w.lower() for w in words]
+    latin = [w for w in low if all(quality._LATIN.match(ch) and ch.isalpha() for ch in w)]
+    visible = len(line) - sum(map(str.isspace, line))
+    letters, digits = sum(map(str.isalpha, s)), sum(map(str.isdigit, s))
+    pairs = sum(bool(quality._CJK.match(x)) and not y.isspace() for x, y in zip(s, s[1:], strict=False))
+    return {
+        "chars": len(line), "words": len(words), "word_chars": sum(map(len, words)), "letters": letters, "digits": digits, "spaces": len(line) - visible, "symbols": visible - letters - digits, "visible": visible,
+        "common": sum(w in common for w in low) + sum(s.count(w) for w in common if quality._CJK.match(w)), "vowelless": sum(len(w) > 1 and not quality._VOWELS & set(w) for w in latin), "latin_words": len(latin),
+        "markup_chars": sum(map(len, quality._MARKUP.findall(s))), "code_chars": sum(ch in quality._CODE for ch in s) + s.count("()"), "mojibake_chars": 0 if s.isascii() else sum(map(len, quality._MOJIBAKE.findall(s))),
+        "long_token_chars": sum(len(t) for t in s.split() if len(t) > 40 and t.isascii()), "odd_words": sum(w.isascii() and any(map(str.isdigit, w)) and any(map(str.isalpha, w)) for w in words), "grams": len(words) + pairs,
+    }
+
+
+def test_lines_are_counted_as_said_plainly():
+    rng = random.Random(3)
+    bits = ["bell ", "It's ", "x-ray ", "Émile ", "3.5 ", "b4d ", "f() ", "<p class='a'>", "&amp;", "的书", "書 ", "ไทย ", "Ã©", "_a_ ", "?!” ", "\t", "|", "  ", "; ", ",", "k" * 50, "", "kzx ", "--", "’", "😀"]
+    lines = ["".join(rng.choice(bits) for _ in range(rng.randrange(12))) for _ in range(400)]
+    common = {"bell", "it's", "的"}
+    got = quality.evaluate(lines, quality.Common(common))
+    for line, row in zip(lines, got.sums.tolist(), strict=True):
+        assert dict(zip(quality.TOKENS, row, strict=True)) == plain_counts(line, common), line
+
+
+def vector(parts, common):
+    quality.settle(parts, common)
+    return [(*p.counts.tolist(), int(p.bits.sum())) for p in parts]
+
+
+def in_any_tree(rng, parts, common):
+    while len(parts) > 1:
+        i = rng.randrange(len(parts) - 1)
+        parts[i : i + 2] = [quality.merge(parts[i], parts[i + 1], common)]
+        assert all(len(e.text) <= 2 * quality.CHUNK for e in (parts[i].left, parts[i].right))
+    return parts
+
+
+KINDS_OF_LINES = [["bell ", "cup, ", "door.\n", "- x\n", "42\t", "\n", "  "], ["name", "7", "\t", "abc\t", "19.5\t"], ["wordrun", "x" * 9], ["He went home; ", "it rained. ", "的书，", "“So?” "], ["a,", "b c,", "1,", "\n" * 2]]
+
+
+@pytest.mark.parametrize("kind", range(len(KINDS_OF_LINES)))
+@pytest.mark.parametrize("size", [8, 64, 512])
+def test_partials_merge_associatively(monkeypatch, kind, size):
+    monkeypatch.setattr(quality, "CHUNK", size)
+    monkeypatch.setattr(quality, "NEAR_BORDER", size // 2)
+    rng = random.Random(kind * 1000 + size)
+    common = quality.Common({"bell", "it"})
+    for n in (1, 5, 60, 400):
+        text = "".join(rng.choice(KINDS_OF_LINES[kind]) for _ in range(n))
+        cut = lambda: [quality.partial(text[i : i + size], i == 0, i + size >= len(text), common) for i in range(0, max(1, len(text)), size)]  # noqa: B023, E731
+        results = {vector(in_any_tree(rng, cut(), common), common)[0] for _ in range(6)} | {vector([quality.fold(text, True, True, common)], common)[0]}
+        assert len(results) == 1
+        whole = quality.evaluate(text.split("\n"), common)
+        exact = [quality.TOKENS.index(c) for c in ("chars", "letters", "digits", "spaces", "symbols", "visible")]
+        got = results.pop()
+        assert all(got[i] == whole.sums[:, i].sum() for i in exact)
+        if kind == 3:  # places to cut wherever a word ends: nothing of a long line's words is lost or counted twice
+            assert got[quality.TOKENS.index("words")] == whole.sums[:, quality.TOKENS.index("words")].sum()
+            assert got[len(quality.TOKENS)] == sum(bool(x.strip()) for x in text.split("\n"))
+
+
+def test_a_text_of_one_huge_line():
+    text = ("The rain went on, and nobody was there to open the door. " * 90_000)[:5_000_000]
+    common = quality.Common({"the"})
+    p = quality.fold(text, False, False, common)
+    assert p.solid and len(p.left.text) + len(p.right.text) < 200 and not p.lines
+    done = quality.fold(text, True, True, common)
+    got = dict(zip(quality.COUNTS, vector([done], common)[0], strict=False))
+    assert got["words"] == len(quality._WORD.findall(text)) and got["lines"] == 1 and got["prose_chars"] == got["visible"] and got["common"] == text.lower().split().count("the")
+
+
+def test_blocks_of_a_document_meet(spark, monkeypatch):
     rng = random.Random(9)
-    text = "".join(rng.choice(["bell ", "cup, ", "door.\n", "- x\n", "42\t", "\n", "  "]) for _ in range(400))
-    common = frozenset({"bell"})
-    whole = quality.close(quality.partial(text, common), common)
-    for size in (7, 31, 100):
-        parts = [quality.partial(text[i : i + size], common) for i in range(0, len(text), size)]
-        while len(parts) > 1:  # merged in a random tree order
-            i = rng.randrange(len(parts) - 1)
-            parts[i : i + 2] = [quality.merge(parts[i], parts[i + 1], common)]
-        got = quality.close(parts[0], common)
-        skip = [quality.COUNTS.index(c) for c in ("packed_bytes", "raw_bytes")]
-        newlines = text.count("\n")
-        for i in range(len(quality.COUNTS) + quality.BITMAP):
-            if i not in skip:
-                assert got[i] == whole[i], (size, i, newlines)
-    monkeypatch.setattr(quality, "CHUNK", 64)
-    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    r = quality.text_counts(df, "doc_id", "text", ["bell"]).first()
-    assert r["words"] == whole[quality.COUNTS.index("words")] and r["lines"] == whole[quality.COUNTS.index("lines")]
+    text = "".join(rng.choice(KINDS_OF_LINES[0]) for _ in range(60_000)) + "bell cup " * 20_000
+    df = spark.createDataFrame([(1, text), (2, "x"), (1, text), (None, text), (3, None)], "doc_id long, text string")
+    whole = {tuple(r) for r in quality.text_counts(df, "doc_id", "text", ["bell"]).collect()}
+    monkeypatch.setattr(quality, "FAN", 1)
+    assert len(whole) == 4 and len(text) > 4 * quality.CHUNK
+    rows = quality.text_counts(df, "doc_id", "text", ["bell"]).collect()
+    assert len(rows) == 5 and {tuple(r) for r in rows} == whole
 
 
 def test_leaks(spark):
