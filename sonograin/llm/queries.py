@@ -62,7 +62,7 @@ def p3_word_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = once(table(spark, sf_dir, "canonical_sentences").select(*RECORD, "text", "written_at"))
     labels = table(spark, sf_dir, "reading_labels").select(*CHAPTER, "reading_level").distinct()
     counts = reading.words_of(rows.join(labels.select(*CHAPTER), CHAPTER, "left_semi"), CHAPTER, "text")
-    return reading.word_grades(counts, labels, CHAPTER, "reading_level").withColumn("grade", F.round("grade", 6))
+    return reading.word_grades(counts, labels, CHAPTER, "reading_level").where("grade IS NOT NULL").withColumn("grade", F.round("grade", 6))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
