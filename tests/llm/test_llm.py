@@ -25,6 +25,9 @@ CASES = [
     ("ar", "وجد د. مالورا المفتاح في الساعة 6.30. أين الصندوق؟ غادر!", ["وجد د. مالورا المفتاح في الساعة 6.30.", "أين الصندوق؟", "غادر!"]),
     ("th", "กัปตันขายกุญแจ ช่างไม้ซ่อนแผนที่\nครูใหญ่ลืมตะเกียง", ["กัปตันขายกุญแจ", "ช่างไม้ซ่อนแผนที่", "ครูใหญ่ลืมตะเกียง"]),
     ("en", " \n　 ", []), ("en", None, []), ("en", "", []),
+    ("ja", "今日は雨ですか明日は晴れますね出かけましょう", ["今日は雨ですか", "明日は晴れますね", "出かけましょう"]), ("ja", "雨ですから出かけません", ["雨ですから出かけません"]),
+    ("zh", "你去吗我不去了", ["你去吗", "我不去了"]), ("km", "ខ្ញុំទៅផ្ទះ។គាត់នៅទីនេះ។", ["ខ្ញុំទៅផ្ទះ។", "គាត់នៅទីនេះ។"]), (None, "သူလာသည်။ ကျွန်တော်သွားသည်။", ["သူလာသည်။", "ကျွန်တော်သွားသည်။"]),
+    ("lo", "ຂ້ອຍໄປ ລາວມາ ແຕ່ບໍ່ຢູ່", ["ຂ້ອຍໄປ", "ລາວມາ ແຕ່ບໍ່ຢູ່"]), ("en", "The U.S.A. won. " + "a.b." * 50_000 + " Then it ended.", ["The U.S.A. won.", "a.b." * 50_000, "Then it ended."]),
 ]
 
 
@@ -42,9 +45,47 @@ def test_sentences_spark(spark):
     assert len(sentences.sentence_spans(long, "en")) == 20000
 
 
-def test_word_lattice():
+def test_word_lattice(spark):
     lat = sentences.WordLattice(["说道", "道", "说"])
     assert lat.segment("某人说道") == ["某", "人", "说道"] and lat.segment("") == []
+    rng = random.Random(1)
+    stock = ["酒吧", "果园", "望远镜", "灯塔", "手稿", "水壶", "地图", "港口"]
+    rows = [("".join(rng.choice([*stock, "我", "他", "在", "看", "去"]) for _ in range(40)), "zh") for _ in range(200)] + [(None, "zh"), ("", "ja"), ("x", None)]
+    words = sentences.corpus_words(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")["zh"]
+    assert {"果园", "望远镜", "灯塔", "手稿", "水壶", "地图", "港口"} <= set(words) and not {w for w in words if w.startswith("我") or w.endswith("吧")}
+    assert sentences.corpus_words(spark.createDataFrame(rows, "text string, lang string").where("1 = 0"), "text", "lang") == {}
+
+
+def test_cheapest_path_of_the_terminator_lattice():
+    """The path that is found costs no more than any choice of ends."""
+    import itertools
+
+    def cost(text, lang, ends):
+        total, unit, last = 0.0, 0, -1
+        for m in sentences._CANDIDATE.finditer(text):
+            a, b = m.span()
+            if b <= last:
+                continue
+            c = last = sentences._closing_run(text, b, lang)
+            if c >= len(text):
+                break
+            end, on, _ = sentences._costs(text, unit, a, b, c, lang)
+            total += end if c in ends else on
+            if c in ends:
+                unit = c
+                while unit < len(text) and text[unit].isspace():
+                    unit += 1
+        return total
+
+    rng = random.Random(2)
+    bits = ["At 5 p.m. ", "(What a day!) ", "He (no!) ran. ", "1. ", "Fig. A ", "No. ", "Mr. Hill ", "etc. Then ", "So. ", "“Go!” he said. ", "I. B. "]
+    for _ in range(150):
+        text = "".join(rng.choice(bits) for _ in range(5)).strip()
+        gaps = sentences._spaced_gaps(text, "en")
+        places = [m.end() for m in sentences._CANDIDATE.finditer(text)]
+        every = {sentences._closing_run(text, p, "en") for p in places}
+        best = min(cost(text, "en", set(x)) for k in range(len(every) + 1) for x in itertools.combinations(sorted(every), k)) if len(every) <= 9 else None
+        assert best is None or cost(text, "en", set(gaps)) <= best + 1e-9
 
 
 @pytest.mark.parametrize(("text", "want"), [
