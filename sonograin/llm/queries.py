@@ -23,7 +23,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentence units of every record."""
     rows = once(table(spark, sf_dir, "canonical_sentences").select(*RECORD, "is_heading", "text", "written_at"))
     df = rows.join(chapter_langs(spark, sf_dir), CHAPTER, "left")
-    words = sentences.corpus_words(df, "text", "lang")
+    words = sentences.corpus_words(table(spark, sf_dir, "canonical_sentences"), "text")
     return sentences.split_sentences(df, "text", "lang", "is_heading", words).select(*RECORD, "char_start", "char_end").distinct()
 
 
@@ -31,7 +31,7 @@ def p1_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentence units with their number in the record and their text."""
     rows = once(table(spark, sf_dir, "canonical_sentences").select(*RECORD, "is_heading", "text", "written_at"))
     df = rows.join(chapter_langs(spark, sf_dir), CHAPTER, "left")
-    words = sentences.corpus_words(df, "text", "lang")
+    words = sentences.corpus_words(table(spark, sf_dir, "canonical_sentences"), "text")
     units = df.select(*RECORD, "text", F.posexplode(sentences.sentence_units(F.col("text"), F.col("lang"), F.col("is_heading"), words)).alias("unit", "u"))
     return units.select(*RECORD, "unit", F.expr("substring(text, u.char_start + 1, u.char_end - u.char_start)").alias("sentence"))
 

@@ -129,13 +129,17 @@ LONGEST, SHARE, COHESION = 4, 1 / 10_000, 30.0
 _SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
 
 
-def corpus_words(df: DataFrame, text: str, lang: str) -> dict[str, list[str]]:
-    """Words of the spaceless languages, counted over all rows: stretches of 2 to LONGEST characters that are frequent and whose parts
-    meet far more often than by chance.  What begins or ends with a function word is none.
+def corpus_words(df: DataFrame, text: str) -> dict[str, list[str]]:
+    """Words of the spaceless languages, counted over all rows (the language of a row by its script): stretches of 2 to LONGEST
+    characters that are frequent and whose parts meet far more often than by chance.  What begins or ends with a function word is none.
 
     At most LONGEST / SHARE stretches a language come to the driver. No rows of such a language: no words."""
-    code = F.lower(F.left(F.col(lang), F.lit(2)))
-    runs = df.where(code.isin(*SPACELESS, *BLANK_GAPS)).select(code.alias("g"), F.explode(F.regexp_extract_all(F.col(text), F.lit(f"([{_SCRIPTS}]+)"))).alias("r"))
+    t = F.col(text)
+    code = F.when(t.rlike(r"[\p{IsHiragana}\p{IsKatakana}]"), "ja").when(t.rlike(r"\p{IsHan}"), "zh")
+    for script, lang in (("Thai", "th"), ("Lao", "lo"), ("Khmer", "km"), ("Myanmar", "my"), ("Tibetan", "bo")):
+        code = code.when(t.rlike(rf"\p{{Is{script}}}"), lang)
+    rows = df.where(t.rlike(f"[{_SCRIPTS}]")).select(code.alias("g"), t.alias("t"))
+    runs = rows.select("g", F.explode(F.regexp_extract_all("t", F.lit(f"([{_SCRIPTS}]+)"))).alias("r"))
 
     def stretches(n: int) -> Column:
         cut = F.transform(F.sequence(F.lit(1), F.length("r") - (n - 1)), lambda i: F.substring(F.col("r"), i, F.lit(n)))
