@@ -14,7 +14,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from bisect import bisect_left, bisect_right
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -126,7 +126,9 @@ def function_words(lang: str) -> frozenset[str]:
 #: Longest word that is counted, least share of a language's stretches of one length that a word must have (so at most
 #: 1 / SHARE words of a length are kept), and how much more often its parts meet than by chance.
 LONGEST, SHARE, COHESION = 4, 1 / 10_000, 30.0
-_SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+# Blocks of the scripts without spaces; the language that one stands for where none is given.
+BLOCKS_OF = {"ja": "\\u3040-\\u30ff", "zh": "\\u3400-\\u9fff", "th": "\\u0e00-\\u0e7f", "lo": "\\u0e80-\\u0eff", "km": "\\u1780-\\u17ff", "my": "\\u1000-\\u109f", "bo": "\\u0f00-\\u0fff"}
+_SCRIPTS = "".join(BLOCKS_OF.values())
 
 
 def corpus_words(df: DataFrame, text: str) -> dict[str, list[str]]:
@@ -135,9 +137,7 @@ def corpus_words(df: DataFrame, text: str) -> dict[str, list[str]]:
 
     At most LONGEST / SHARE stretches a language come to the driver. No rows of such a language: no words."""
     t = F.col(text)
-    code = F.when(t.rlike(r"[\p{IsHiragana}\p{IsKatakana}]"), "ja").when(t.rlike(r"\p{IsHan}"), "zh")
-    for script, lang in (("Thai", "th"), ("Lao", "lo"), ("Khmer", "km"), ("Myanmar", "my"), ("Tibetan", "bo")):
-        code = code.when(t.rlike(rf"\p{{Is{script}}}"), lang)
+    code = reduce(lambda c, x: c.when(t.rlike(f"[{x[1]}]"), x[0]), BLOCKS_OF.items(), F)
     rows = df.where(t.rlike(f"[{_SCRIPTS}]")).select(code.alias("g"), t.alias("t"))
     runs = rows.select("g", F.explode(F.regexp_extract_all("t", F.lit(f"([{_SCRIPTS}]+)"))).alias("r"))
 
