@@ -1,41 +1,50 @@
 """Evaluation passages that leak into training documents (problem 9).
 
 Q-gram lemma filter: a stretch of n characters with at most k edits keeps n + 1 - q * (k + 1) of its q-grams, all
-near one diagonal.  Shared q-grams of document and passage are counted in overlapping diagonal bands; bands
-under the bound of the edit budget are dropped; what is left is verified by a banded alignment of words.
-The passages are the fixed query set; their index goes to every task in blocks of a bounded size, and every
-document is compared with all blocks.
+near one diagonal.  Shared q-grams of document and passage are counted in overlapping diagonal bands; a pair whose two best bands are
+under the bound of the edit budget is dropped; what is left is verified by a banded alignment of words.
+The budget: of 20 words four may be changed, added or missing.  Passages are written with stock phrases, so q-grams and words are told
+apart by how many passages hold them: a pair needs RARE_GRAMS rare q-grams, and if more than a few words are edited, rare word
+triples.  The passages are the fixed query set; their index goes to every task in blocks of a bounded size, and every
+document is compared with all blocks; what is rare is counted over all passages, so blocks change nothing.
 """
 
 from __future__ import annotations
 
+import difflib
 import re
+import uuid
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonograin.llm.canon import canonical
 from sonograin.tables import spread
 
-#: Characters of a q-gram; band width in characters; least shared q-grams of a band (n = 36 characters, 6
-#: words at least, under a budget of one edit: 36 + 1 - 16 * 2 = 5).
-Q, BAND, LEAST_GRAMS = 16, 48, 5
-#: Characters of the passage that the bands of a case cover at least (20 words under a budget of five edits), and
-#: share of the passages beyond which a q-gram is a common phrase, which alone proposes a band only when it covers that much.
-LEAST_COVERED, COMMON = 56, 0.02
-#: Words of the passage that a case holds, in one or two stretches; least words of a stretch; share of a
-#: stretch's words that must be unchanged; cost of an edited word against a kept one.
+#: Characters of a q-gram and width of a band in characters.
+Q, BAND = 16, 48
+#: What the two best bands of a pair hold at least under the edit budget: rare q-grams, and characters of the passage that q-grams
+#: cover (a share of 0.99 of stretches of 20 words with five of them changed hold 10 and 67).
+RARE_GRAMS, LEAST_COVERED = 10, 56
+#: Passages (copies and near-copies counted once) up to which a q-gram or triple of words is rare, as a number and as a share of all;
+#: share of its q-grams that makes a passage a near-copy of another.
+RARE, RARE_SHARE, NEAR_COPY = 2, 0.005, 0.5
+#: Words of the passage that a case holds, in one or two stretches; least words of a stretch; share of the words that must be
+#: unchanged; cost of an edited word against a kept one.
 WORDS, LEAST_STRETCH, UNCHANGED, EDIT = 20, 6, 0.75, 1.2
-#: Share of all held words that must be unchanged.
-SURE = 0.85
+#: Share of unchanged words over which the aligned stretches are sure; else the unchanged words must hold so many rare triples (of 20 words with
+#: four changed at least five triples are left).
+SURE, RARE_TRIPLES = 0.85, 5
 #: Half width of the alignment band, in words, and words around the shared q-grams that are aligned.
 HALF, MARGIN = 6, 14
-#: Most characters of passages in one index block: about 40 bytes of index each.
-BLOCK_CHARS = 4 << 20
+#: Most characters of passages in one index block: about 40 bytes of index each; bytes of the query set as a whole, which
+#: the driver reads.
+BLOCK_CHARS, QUERY_BYTES = 4 << 20, 64 << 20
 #: Characters of a piece of a huge text, and of the overlap of two pieces (longer than any quotation's stretch by far).
 PIECE, OVERLAP = 150_000, 4_000
 #: A leading sentence of at least so many passages, and this share of them, is a stock instruction.
@@ -88,43 +97,108 @@ def grams(codes: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+
+
+def _triples(words: list[str]) -> np.ndarray:
+    """Hash of the three words from each position."""
+    h = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    with np.errstate(over="ignore"):
+        t = h[:-2] * np.uint64(3) + h[1:-1] * _B + h[2:] * np.uint64(0xBF58476D1CE4E5B9)
+        return t ^ (t >> np.uint64(29))
+
+
+def _held_by(keys: list[np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys, number of groups that hold each)."""
+    k = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    g = np.repeat(group, [len(x) for x in keys]) if keys else np.zeros(0, np.int64)
+    order = np.lexsort((g, k))
+    k, g = k[order], g[order]
+    new = np.ones(len(k), bool)
+    new[1:] = k[1:] != k[:-1]
+    fresh = new.copy()
+    fresh[1:] |= g[1:] != g[:-1]
+    at = np.flatnonzero(new)
+    return k[at], np.add.reduceat(fresh.astype(np.int64), at) if len(k) else np.zeros(0, np.int64)
+
+
+def _near_copies(keys: list[np.ndarray]) -> np.ndarray:
+    """Group of each passage: those that share NEAR_COPY of their q-grams with the first passage that holds these are one group."""
+    n = len(keys)
+    sizes = np.array([len(x) for x in keys], np.int64)
+    k, item = (np.concatenate(keys), np.repeat(np.arange(n), sizes)) if n else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    order = np.lexsort((item, k))
+    k, item = k[order], item[order]
+    new = np.ones(len(k), bool)
+    new[1:] = k[1:] != k[:-1]
+    leader = item[np.flatnonzero(new)][np.cumsum(new) - 1] if len(k) else item
+    link, shared = np.unique(item[item != leader] * max(n, 1) + leader[item != leader], return_counts=True)
+    up = np.arange(n)
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    for pair, c in zip(link.tolist(), shared.tolist(), strict=True):
+        i, j = divmod(pair, n)
+        if c >= NEAR_COPY * min(sizes[i], sizes[j]):
+            up[root(i)] = root(j)
+    return np.array([root(i) for i in range(n)], np.int64)
+
+
+def common_keys(passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the q-grams and of the triples of words that are not rare, over all passages."""
+    keys = [np.unique(grams(_codes(t))) for t in passages]
+    group = _near_copies(keys)
+    most = max(RARE, RARE_SHARE * len(np.unique(group)))
+    out = []
+    for ks in (keys, [np.unique(_triples(t.split())) for t in passages]):
+        k, n = _held_by(ks, group)
+        out.append(k[n > most])
+    return out[0], out[1]
+
+
 class Index:
-    """Q-grams of a block of passages: sorted hashes, postings, and a bit per hash prefix to rule most out."""
+    """Q-grams of a block of passages: sorted hashes, postings, and a bit per hash prefix to rule most out; the passages' words."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], common: tuple[np.ndarray, np.ndarray] | None = None) -> None:
         self.ids = np.array([i for i, _ in items], np.int64)
-        self.texts = [t for _, t in items]
+        texts = [t for _, t in items]
+        common_grams, common_triples = common or common_keys(texts)
         self.vocabulary: dict[str, int] = {}
-        self.numbers = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in t.split()], np.int32) for t in self.texts]
-        hs, its, ps = [], [], []
-        for k, t in enumerate(self.texts):
-            h = grams(np.frombuffer(t.encode("utf-32-le"), np.uint32))
-            hs.append(h)
-            its.append(np.full(len(h), k, np.int32))
-            ps.append(np.arange(len(h), dtype=np.int32))
+        words = [t.split() for t in texts]
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        self.first_word = np.append(0, np.cumsum(self.sizes))
+        self.numbers = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for ws in words for w in ws], np.int32)
+        self.rare_triple = np.zeros(len(self.numbers) + 2, bool)
+        for at, ws in zip(self.first_word.tolist(), words, strict=False):
+            if len(ws) > 2:
+                self.rare_triple[at : at + len(ws) - 2] = ~np.isin(_triples(ws), common_triples)
+        codes = [_codes(t) for t in texts]
+        hs = [grams(c) for c in codes]
         h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
+        sizes = np.array([len(x) for x in hs], np.int64)
+        item = np.repeat(np.arange(len(hs)), sizes)
+        pos = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         order = np.argsort(h, kind="stable")
-        self.item = np.concatenate(its)[order] if hs else np.zeros(0, np.int32)
-        self.pos = np.concatenate(ps)[order] if hs else np.zeros(0, np.int32)
+        self.item, self.pos = item[order], pos[order]
         self.keys, self.first = np.unique(h[order], return_index=True)
         self.count = np.diff(np.append(self.first, len(h)))
-        change = np.ones(len(h), bool)
-        o = np.lexsort((self.item, h[order]))
-        hk, ik = h[order][o], self.item[o]
-        change[1:] = (hk[1:] != hk[:-1]) | (ik[1:] != ik[:-1])
-        self.spread = np.add.reduceat(change.astype(np.int64), self.first) if len(h) else np.zeros(0, np.int64)
-        self.rare = max(2, int(COMMON * len(items)))
+        self.rare = ~np.isin(self.keys, common_grams)
         self.bits = np.zeros(1 << 24, bool)
         self.bits[(self.keys >> np.uint64(40)).astype(np.int64)] = True
-        self.starts = [np.array([0, *(np.flatnonzero(np.frombuffer(t.encode("utf-32-le"), np.uint32) == 32) + 1).tolist()]) for t in self.texts]
+        #: word of the passage that a q-gram begins in (behind the blank it may begin with)
+        self.word_at = np.concatenate([np.cumsum(c == 32)[: len(x)] for c, x in zip(codes, hs, strict=True)])[order] if len(h) else np.zeros(0, np.int64)
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(position in the text, number of the q-gram, item, position in its passage) of every shared q-gram."""
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position in the text, posting, whether the q-gram is rare) of every shared q-gram."""
         h = grams(codes)
         at = np.flatnonzero(self.bits[(h >> np.uint64(40)).astype(np.int64)]) if len(h) else np.zeros(0, np.int64)
         if not len(at) or not len(self.keys):
-            e = np.zeros(0, np.int64)
-            return e, e, e, e
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         k = np.searchsorted(self.keys, h[at])
         k[k == len(self.keys)] = 0
         ok = self.keys[k] == h[at]
@@ -132,8 +206,7 @@ class Index:
         n = self.count[k]
         rep = np.repeat(np.arange(len(at)), n)
         offs = np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
-        src = self.first[k][rep] + offs
-        return at[rep], k[rep], self.item[src].astype(np.int64), self.pos[src].astype(np.int64)
+        return at[rep], self.first[k][rep] + offs, self.rare[k][rep]
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -175,131 +248,131 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     return kept >> 40, (kept >> 20) & low, end_a, kept & low, end_b
 
 
-def _bands(index: Index, at: np.ndarray, gram: np.ndarray, item: np.ndarray, pos: np.ndarray, doc: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Shared q-grams counted in overlapping diagonal bands; what the edit budget rules out is dropped. `least`: characters that
-    a pair must cover, by text.
+#: Columns of a band: document, item, set of bands, diagonal band, characters covered, rare q-grams, and the first and last word
+#: of its q-grams in the text and in the passage.
+_DOC, _ITEM, _SET, _KEY, _COVERED, _RARE, _T0, _T1, _P0, _P1 = range(10)
+
 
-    Returns, per band kept: pair, text position and passage position of its first and last q-gram."""
+def _bands(index: Index, parts: list[tuple[int, int, int, bool, str]]) -> np.ndarray:
+    """Shared q-grams of texts (document, characters and words before it, whether it is a whole document, text) counted in overlapping
+    diagonal bands, a row a band; whole documents only where a pair has enough rare q-grams at all."""
     n_items = len(index.ids)
-    pair = doc * n_items + item
-    rare = index.spread[gram] <= index.rare
-    # a pair with fewer hits than either rule for a band asks for has no band
-    n_rare, n_all = np.bincount(pair[rare], minlength=1), np.bincount(pair)
-    n_rare = np.append(n_rare, np.zeros(len(n_all) - len(n_rare), n_rare.dtype))
-    hope = ((n_rare >= LEAST_GRAMS) | (n_all * Q >= LEAST_COVERED)) & (n_all * Q >= least[np.arange(len(n_all)) // n_items])
-    some = np.flatnonzero(hope[pair])
-    pair, at, pos, rare = pair[some], at[some], pos[some], rare[some]
-    diag = at - pos + (1 << 27)
-    bits = int(pos.max()).bit_length() if len(pos) else 1
-    sets = []
-    for half in (0, BAND // 2):
-        key = pair * (1 << 23) + (diag + half) // BAND
-        order = np.argsort((key << bits) | pos) if int(key.max(initial=0)).bit_length() + bits < 63 else np.lexsort((pos, key))
-        k, p, t = key[order], pos[order], at[order]
+    codes = _codes("\n\n".join(p[-1] for p in parts))
+    ends = np.cumsum([len(p[-1]) + 2 for p in parts])
+    at, posting, rare = index.hits(codes)
+    part = np.searchsorted(ends, at, "right")
+    pair = part * n_items + index.item[posting]
+    least = np.array([RARE_GRAMS if p[3] else 1 for p in parts])
+    n_rare = np.bincount(pair[rare], minlength=len(parts) * n_items)
+    some = np.flatnonzero((n_rare >= np.repeat(least, n_items))[pair])
+    if not len(some):
+        return np.zeros((0, 10), np.int64)
+    at, posting, rare, part, pair = at[some], posting[some], rare[some], part[some], pair[some]
+    chars, words = (np.array([p[i] for p in parts], np.int64)[part] for i in (1, 2))
+    begin = np.append(0, ends[:-1])[part]
+    blanks = np.append(0, np.cumsum(codes == 32))
+    t_word = blanks[at + 1] - blanks[begin] + words
+    pos, p_word = index.pos[posting], index.word_at[posting]
+    diag = at - begin + chars - pos + (1 << 40)
+    out = []
+    for half in (0, 1):
+        band = (diag + half * (BAND // 2)) // BAND
+        order = np.lexsort((pos, band, pair))
+        k, d, p = pair[order], band[order], pos[order]
         new = np.ones(len(k), bool)
-        new[1:] = k[1:] != k[:-1]
+        new[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1])
         step = np.full(len(k), Q)
         step[1:] = np.where(new[1:], Q, np.minimum(p[1:] - p[:-1], Q))
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(k)) - 1
-        covered = np.add.reduceat(step, first)
-        few = np.add.reduceat(rare[order].astype(np.int64), first)
-        keep = (few >= LEAST_GRAMS) | (covered >= LEAST_COVERED)
-        own = k[first][keep] >> 23
-        # a case is one or two stretches: the two bands that cover most must cover enough
-        rank = np.lexsort((-covered[keep], own))
-        o, c = own[rank], covered[keep][rank]
-        head = np.ones(len(o), bool)
-        head[1:] = o[1:] != o[:-1]
-        at_ = np.flatnonzero(head)
-        second = np.where(np.append(at_[1:], len(o)) - at_ > 1, c[np.minimum(at_ + 1, max(len(c) - 1, 0))], 0) if len(o) else np.zeros(0, np.int64)
-        sets.append((own, t[first][keep], p[first][keep], t[last][keep], p[last][keep], o[at_], c[at_] + second))
-    # of the two sets of bands, which overlap, a pair is taken from the one that covers it better
-    pairs = np.unique(np.concatenate([x[5] for x in sets]))
-    cover = np.zeros((2, len(pairs)), np.int64)
-    for row, x in zip(cover, sets, strict=True):
-        row[np.searchsorted(pairs, x[5])] = x[6]
-    use = cover.max(axis=0) >= least[pairs // n_items]
-    out = []
-    for i, x in enumerate(sets):
-        chosen = use & (cover.argmax(axis=0) == i)
-        m = chosen[np.searchsorted(pairs, x[0])] if len(x[0]) else np.zeros(0, bool)
-        out.append([y[m] for y in x[:5]])
-    return tuple(np.concatenate(z) for z in zip(*out, strict=True))
-
-
-def stretches_of(index: Index, texts: list[str], least: list[int]) -> Iterator[tuple[int, int, list[tuple[int, int, int, int, int]]]]:
-    """(number of the text, item, verified stretches: matches, passage from, to, text from, to in words) of every pair."""
-    codes = np.frombuffer("\n\n".join(texts).encode("utf-32-le", "replace"), np.uint32)
-    sizes = np.array([len(t) + 2 for t in texts])
-    ends = np.cumsum(sizes)
-    begin = ends - sizes
-    at, gram, item, pos = index.hits(codes)
-    if not len(at):
-        return
-    doc = np.searchsorted(ends, at, "right")
-    pair, t0, p0, t1, p1 = _bands(index, at - begin[doc], gram, item, pos, doc, np.asarray(least, np.int64))
-    if not len(pair):
-        return
-    n_items = len(index.ids)
-    spans, sides = [], []
-    numbers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for d in np.unique(pair // n_items).tolist():
-        ws = texts[d].split(" ")
-        c = np.frombuffer(texts[d].encode("utf-32-le", "replace"), np.uint32)
-        numbers[d] = np.array([index.vocabulary.get(w, -2) for w in ws], np.int32), np.concatenate(([0], np.flatnonzero(c == 32) + 1))
-    for pr, a, b, c, e in zip(pair.tolist(), t0.tolist(), p0.tolist(), t1.tolist(), p1.tolist(), strict=True):
-        d, k = divmod(pr, n_items)
-        dw, ds = numbers[d]
-        starts = index.starts[k]
-        i0, i1 = int(np.searchsorted(starts, b + 1, "right")) - 1, int(np.searchsorted(starts, e + 1, "right")) - 1
-        j0, j1 = int(np.searchsorted(ds, a + 1, "right")) - 1, int(np.searchsorted(ds, c + 1, "right")) - 1
-        shift = (j0 - i0 + j1 - i1) // 2
-        spans.append((pr, max(0, i0 - MARGIN), min(len(index.numbers[k]), i1 + MARGIN + 4), shift))
-        sides.append((dw, index.numbers[k]))
-    order = sorted(range(len(spans)), key=lambda x: spans[x][2] - spans[x][1])
-    found: dict[int, list[tuple[int, int, int, int, int]]] = {}
-    for at_ in range(0, len(order), 512):  # bands of like length side by side
-        part = order[at_ : at_ + 512]
-        rows = max(spans[x][2] - spans[x][1] for x in part)
-        a = np.full((len(part), rows), -1, np.int32)
-        b = np.full((len(part), rows + 2 * HALF), -3, np.int32)
-        for r, x in enumerate(part):
-            _, lo, hi, shift = spans[x]
-            dw, iw = sides[x]
-            a[r, : hi - lo] = iw[lo:hi]
-            j = lo + shift - HALF
-            seg = dw[max(0, j) : max(0, j + rows + 2 * HALF)]
-            b[r, max(0, -j) : max(0, -j) + len(seg)] = seg[: b.shape[1] - max(0, -j)]
-        rows_left = np.arange(len(part))
+        tw, pw = t_word[order], p_word[order]
+        cols = [
+            np.array([x[0] for x in parts])[part[order][first]], k[first] % n_items, np.full(len(first), half), d[first], np.add.reduceat(step, first), np.add.reduceat(rare[order].astype(np.int64), first),
+            np.minimum.reduceat(tw, first), np.maximum.reduceat(tw, first), np.minimum.reduceat(pw, first), np.maximum.reduceat(pw, first),
+        ]
+        out.append(np.stack(cols, axis=1))
+    return np.concatenate(out)
+
+
+def _candidates(bands: np.ndarray) -> np.ndarray:
+    """Bands of the pairs whose two best bands of one set hold what the edit budget leaves.
+
+    A band that two pieces of a text both hold, in their overlap, counts once."""
+    if not len(bands):
+        return bands
+    b = bands[np.lexsort(bands[:, [_KEY, _SET, _ITEM, _DOC]].T)]
+    new = np.ones(len(b), bool)
+    new[1:] = (b[1:, :_KEY + 1] != b[:-1, :_KEY + 1]).any(axis=1)
+    at = np.flatnonzero(new)
+    b = np.stack([b[at, c] if c <= _KEY else (np.minimum if c in (_T0, _P0) else np.maximum).reduceat(b[:, c], at) for c in range(10)], axis=1)
+    b = b[np.lexsort((-b[:, _RARE], b[:, _SET], b[:, _ITEM], b[:, _DOC]))]
+    new = np.ones(len(b), bool)
+    new[1:] = (b[1:, :_SET + 1] != b[:-1, :_SET + 1]).any(axis=1)
+    at = np.flatnonzero(new)
+    place = np.arange(len(b)) - np.repeat(at, np.diff(np.append(at, len(b))))
+    best = place < 2
+    rare, covered = np.add.reduceat(b[:, _RARE] * best, at), np.add.reduceat(b[:, _COVERED] * best, at)
+    ok = (rare >= RARE_GRAMS) & (covered >= LEAST_COVERED)
+    # of the two sets of bands, which overlap, a pair is taken from the one with more rare q-grams
+    head = b[at]
+    order = np.lexsort((head[:, _SET], -(rare * ok), head[:, _ITEM], head[:, _DOC]))
+    lead = np.ones(len(order), bool)
+    lead[1:] = (head[order][1:, :_ITEM + 1] != head[order][:-1, :_ITEM + 1]).any(axis=1)
+    use = np.zeros(len(at), bool)
+    use[order[lead]] = True
+    group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(b))))
+    return b[(use & ok)[group] & ((b[:, _RARE] > 0) | best)]
+
+
+#: Matches, passage from, to, text from, to in words.
+Stretch = tuple[int, int, int, int, int]
+
+
+def stretches_of(index: Index, bands: np.ndarray, words: dict[int, np.ndarray]) -> dict[tuple[int, int], list[Stretch]]:
+    """Verified stretches of each (document, item): the bands aligned word by word, those of like length side by side."""
+    found: dict[tuple[int, int], list[Stretch]] = {}
+    docs = np.unique(bands[:, _DOC])
+    sizes = np.array([len(words[d]) for d in docs.tolist()], np.int64)
+    starts = np.append(0, np.cumsum(sizes))[:-1]
+    every = np.concatenate([words[d] for d in docs.tolist()]) if len(docs) else np.zeros(0, np.int32)
+    which = np.searchsorted(docs, bands[:, _DOC])
+    item = bands[:, _ITEM]
+    lo, hi = np.maximum(0, bands[:, _P0] - MARGIN), np.minimum(index.sizes[item], bands[:, _P1] + MARGIN + 4)
+    shift = (bands[:, _T0] - bands[:, _P0] + bands[:, _T1] - bands[:, _P1]) // 2
+    order = np.argsort(hi - lo, kind="stable")
+    for at in range(0, len(order), 512):
+        x = order[at : at + 512]
+        rows = int((hi[x] - lo[x]).max())
+        i = lo[x, None] + np.arange(rows)
+        a = np.where(i < hi[x, None], index.numbers[np.minimum(index.first_word[item[x], None] + i, len(index.numbers) - 1)], -1)
+        j = (lo[x] + shift[x] - HALF)[:, None] + np.arange(rows + 2 * HALF)
+        inside = (j >= 0) & (j < sizes[which[x], None])
+        b = np.where(inside, every[np.clip(starts[which[x], None] + j, 0, len(every) - 1)], -3)
+        left = np.arange(len(x))
         for _ in range(2):  # the best stretch, and where that is too short the best beside it
-            m, a0, a1, b0, b1 = align(a[rows_left], b[rows_left])
+            m, a0, a1, b0, b1 = align(a[left], b[left])
             good = (a1 - a0 >= LEAST_STRETCH) & (m >= UNCHANGED * (a1 - a0))
             for g in np.flatnonzero(good).tolist():
-                r = int(rows_left[g])
-                pr, lo, _, shift = spans[part[r]]
-                j = lo + shift - HALF
-                found.setdefault(pr, []).append((int(m[g]), int(a0[g]) + lo, int(a1[g]) + lo, int(b0[g]) + j, int(b1[g]) + j))
+                r = int(left[g])
+                k = x[r]
+                f, t = int(lo[k]), int(j[r, 0])
+                found.setdefault((int(bands[k, _DOC]), int(item[k])), []).append((int(m[g]), int(a0[g]) + f, int(a1[g]) + f, int(b0[g]) + t, int(b1[g]) + t))
                 a[r, a0[g] : a1[g]] = -1
                 b[r, b0[g] : b1[g]] = -3
-            rows_left = rows_left[good & (a1 - a0 < WORDS)]
-            if not len(rows_left):
+            left = left[good & (a1 - a0 < WORDS)]
+            if not len(left):
                 break
-    for pr, ws in sorted(found.items()):
-        yield pr // n_items, pr % n_items, ws
+    return found
 
 
-def pieces(text: str) -> list[tuple[int, str]]:
-    """A text in pieces of at most PIECE characters that overlap by OVERLAP, cut at blanks: (words before it, piece)."""
-    if len(text) <= PIECE:
-        return [(0, text)]
+def pieces(text: str) -> list[tuple[int, int, str]]:
+    """A text in pieces of at most PIECE characters that overlap by OVERLAP, cut at blanks: (characters and words before it, piece)."""
     out, at, before = [], 0, 0
     while True:
         end = at + PIECE
         if end < len(text):
             cut = text.rfind(" ", at + PIECE // 2, end)
             end = cut if cut > 0 else end
-        out.append((before, text[at : min(end, len(text))]))
+        out.append((at, before, text[at : min(end, len(text))]))
         if end >= len(text):
             return out
         nxt = text.rfind(" ", at + 1, end - OVERLAP) + 1
@@ -311,60 +384,114 @@ def pieces(text: str) -> list[tuple[int, str]]:
 def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
     """(number of the text, item, words held) of every pair with a verified stretch.
 
-    Huge texts go in pieces and many small ones together, so that the memory for shared q-grams is bounded; in a piece half
-    of the coverage proposes a pair, since its other stretch may lie in another piece."""
-    found: dict[tuple[int, int], list] = {}
-    queue: list[tuple[int, int, str, int]] = []
+    Huge texts go in pieces and many small ones together, so that the memory for shared q-grams is bounded; the bound of the budget
+    is put to the bands of all pieces of a text."""
+    bands: list[np.ndarray] = []
+    queue: list[tuple[int, int, int, bool, str]] = []
     size = 0
-
-    def flush() -> None:
-        for k, item, ws in stretches_of(index, [q[2] for q in queue], [q[3] for q in queue]):
-            d, before = queue[k][:2]
-            found.setdefault((d, item), []).extend((m, a0, a1, b0 + before, b1 + before) for m, a0, a1, b0, b1 in ws)
-        queue.clear()
-
     for d, t in enumerate(texts):
         parts = pieces(t)
-        for before, part in parts:
-            queue.append((d, before, part, LEAST_COVERED if len(parts) == 1 else LEAST_COVERED // 2))
+        for chars, before, part in parts:
+            queue.append((d, chars, before, len(parts) == 1, part))
             size += len(part)
             if size >= 2 * PIECE:
-                flush()
-                size = 0
+                bands.append(_bands(index, queue))
+                queue, size = [], 0
     if queue:
-        flush()
-    for (d, item), ws in sorted(found.items()):
-        yield d, item, held_words(ws)
+        bands.append(_bands(index, queue))
+    chosen = _candidates(np.concatenate(bands) if bands else np.zeros((0, 10), np.int64))
+    if not len(chosen):
+        return
+    words = {d: np.array([index.vocabulary.get(w, -2) for w in texts[d].split(" ")], np.int32) for d in np.unique(chosen[:, _DOC]).tolist()}
+    for (d, item), ws in sorted(stretches_of(index, chosen, words).items()):
+        yield d, item, held_words(index, item, words[d], ws)
+
+
+def _rare_triples(index: Index, item: int, words: np.ndarray, s: Stretch) -> int:
+    """Rare triples of the passage's words that a stretch keeps."""
+    at = int(index.first_word[item]) + s[1]
+    kept = difflib.SequenceMatcher(None, index.numbers[at : at + s[2] - s[1]].tolist(), words[s[3] : s[4]].tolist(), autojunk=False).get_matching_blocks()
+    return sum(int(index.rare_triple[at + b.a : at + b.a + b.size - 2].sum()) for b in kept if b.size > 2)
+
+
+def _extended(passage: np.ndarray, words: np.ndarray, s: Stretch) -> Stretch:
+    """A stretch lengthened over edited words at its ends, which the best local alignment leaves out, to the next unchanged one, as
+    often as enough of its words stay unchanged."""
+    m, a0, a1, b0, b1 = s
 
+    def step(at: int, to: int, side: int) -> tuple[int, int] | None:
+        """How far, in the passage and in the text, the next unchanged word is: words between changed, or one missing in the text."""
+        for n in range(1, int((m + 1) / UNCHANGED) - (a1 - a0) + 1):
+            for d in range(n, max(1, n - 1) - 1, -1):
+                i, j = at + side * n - (side > 0), to + side * d - (side > 0)
+                if 0 <= i < len(passage) and 0 <= j < len(words) and passage[i] == words[j]:
+                    return n, d
+        return None
 
-def held_words(stretches: list[tuple[int, int, int, int, int]]) -> int:
+    while x := step(a0, b0, -1):
+        m, a0, b0 = m + 1, a0 - x[0], b0 - x[1]
+    while x := step(a1, b1, 1):
+        m, a1, b1 = m + 1, a1 + x[0], b1 + x[1]
+    return m, a0, a1, b0, b1
+
+
+def held_words(index: Index, item: int, words: np.ndarray, stretches: list[Stretch]) -> int:
     """Words of the passage held in their order in at most two of the stretches; a changed word inside a
-    stretch counts as held, so few edits do not undo a case, but over all more than SURE must be unchanged:
+    stretch counts as held, so few edits do not undo a case.  With more edits than SURE allows, RARE_TRIPLES must be left:
     sentences that only share their frame of common phrases are no case."""
-    ws = list(dict.fromkeys(stretches))
+    # of one stretch of the passage its first and its last place in the text are enough
+    first, last = {}, {}
+    for s in stretches:
+        k = s[:3]
+        first[k] = min(first.get(k, s), s, key=lambda x: x[4])
+        last[k] = max(last.get(k, s), s, key=lambda x: x[3])
+    passage = index.numbers[index.first_word[item] : index.first_word[item + 1]]
+    long = {s: _extended(passage, words, s) for s in {*first.values(), *last.values()}}
+    options = []  # (held, kept, stretches, as aligned)
+    for s in first.values():
+        for x in {s, long[s]}:
+            options.append((x[2] - x[1], x[0], (x,), x is s))
+    for k, v in combinations(sorted(first, key=lambda x: x[1]), 2):
+        if k[2] <= v[1] and first[k][4] <= last[v][3]:
+            for x, y in {(first[k], last[v]), (long[first[k]], long[last[v]])}:
+                both = max(0, x[2] - y[1])  # lengthened into each other
+                options.append((x[2] - x[1] + y[2] - y[1] - both, x[0] + y[0] - both, (x, y), x is first[k] and y is last[v]))
     best = 0
-    for k, w in enumerate(ws):
-        if w[0] > SURE * (w[2] - w[1]):
-            best = max(best, w[2] - w[1])
-        for v in ws[k + 1 :]:
-            a, b = (w, v) if w[1] < v[1] else (v, w)
-            held = a[2] - a[1] + b[2] - b[1]
-            if a[2] <= b[1] and a[4] <= b[3] and a[0] + b[0] > SURE * held:
-                best = max(best, held)
+    for held, kept, parts, plainly in sorted(options, key=lambda o: -o[0]):
+        if held <= best:
+            break
+        if (plainly and kept > SURE * held) or (kept >= UNCHANGED * held and sum(_rare_triples(index, item, words, s) for s in parts) >= RARE_TRIPLES):
+            best = held
     return best
 
 
+_LOADED: dict[str, Index] = {}
+
+
+def _index(key: str, held) -> Index:
+    """The index of a broadcast block, made once in a worker; the last one is kept."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = Index(*held.value)
+    return _LOADED[key]
+
+
 def find_leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, passage: str, least: int = WORDS, batch: int = 256) -> DataFrame:
     """(doc, item, words_held): one row per document and passage of which it holds at least `least` words.
 
     Null and empty texts and passages of fewer than WORDS words give none. Repeated documents each count; keys
-    must be unique. `items` is the query set: it is read to the driver, in blocks of BLOCK_CHARS characters."""
-    rows = [(r[0], r[1]) for r in items.select(F.col(item).cast("bigint"), passage).where(F.col(item).isNotNull()).collect()]
+    must be unique. `items` is the query set: it is measured and read to the driver (up to QUERY_BYTES, else
+    ValueError: give it in parts) and sent to the tasks in blocks of BLOCK_CHARS characters."""
+    query = items.select(F.col(item).cast("bigint"), passage).where(F.col(item).isNotNull())
+    if (query.agg(F.sum(F.octet_length(passage))).first()[0] or 0) > QUERY_BYTES:
+        raise ValueError("the query set is larger than one search takes")
+    rows = [(r[0], r[1]) for r in query.collect()]
     stock = stock_instructions([p for _, p in rows])
+    plain_items = [(i, without_instruction(p, stock)) for i, p in sorted(rows, key=lambda r: (r[0], r[1] or ""))]
+    common = common_keys([t for _, t in plain_items])
     blocks: list[list[tuple[int, str]]] = [[]]
     size = 0
-    for i, p in sorted(rows):
-        t = without_instruction(p, stock)
+    for i, t in plain_items:
         if size and size + len(t) > BLOCK_CHARS:
             blocks.append([])
             size = 0
@@ -376,10 +503,10 @@ def find_leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str
     src = spread(src, "__d")
     found = None
     for block in blocks:
-        held = docs.sparkSession.sparkContext.broadcast(block)
+        held, name = docs.sparkSession.sparkContext.broadcast((block, common)), uuid.uuid4().hex
 
-        def run(batches, held=held):
-            index = Index(held.value)
+        def run(batches, held=held, name=name):
+            index = _index(name, held)
             for b in batches:
                 for at in range(0, b.num_rows, batch):
                     part = b.slice(at, batch)

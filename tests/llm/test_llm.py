@@ -371,10 +371,45 @@ def test_leaks_in_pieces(monkeypatch):
     assert set(want) == {(0, 0), (1, 1), (3, 2)}
     monkeypatch.setattr(leaks, "PIECE", 2000)
     monkeypatch.setattr(leaks, "OVERLAP", 600)
-    assert all(t[0] == 0 or texts[1].split(" ")[t[0] : t[0] + 2] == t[1].split(" ")[:2] for t in leaks.pieces(texts[1]))
+    assert len(leaks.pieces(texts[1])) > 2 and all(texts[1][c:].startswith(t) and texts[1][:c].count(" ") == w for c, w, t in leaks.pieces(texts[1]))
     assert {(d, k): n for d, k, n in leaks.leaks_of(index, texts) if n >= leaks.WORDS} == want
 
 
+@pytest.mark.parametrize(("n", "changed", "recall"), [(20, 2, 0.97), (20, 3, 0.95), (20, 4, 0.9), (22, 4, 0.9), (26, 5, 0.9), (32, 6, 0.9)])
+def test_edited_quotations_are_found(n, changed, recall):
+    """Planted edits: words of a stretch of exact length changed, added or left out, in foreign context."""
+    rng = random.Random(n * 10 + changed)
+    vocab = [a + b for a in "bri cor dor fel gax hes ish jor kel lum".split() for b in "an bel cor dish em fin gas hul ik jo neb oster pim quan rit sul tov ux vam wen".split()]
+    phrases = ["in the absence of", "by means of every", "not least because of", "with regard to the"]
+    say = lambda k: " ".join(rng.choice(phrases) if rng.random() < 0.05 else rng.choice(vocab) for _ in range(k))
+    items = [(i, say(70)) for i in range(60)]
+    index = leaks.Index(items)
+    texts, want = [], []
+    for _ in range(150):
+        k = rng.randrange(60)
+        ws = items[k][1].split()
+        at = rng.randrange(len(ws) - n)
+        part = ws[at : at + n]
+        for x in rng.sample(range(1, n - 1), changed):
+            part[x] = "zzz"
+        texts.append(f"{say(30)} {' '.join(part)} {say(30)}")
+        want.append(k)
+    got = {(d, k) for d, k, held in leaks.leaks_of(index, texts) if held >= leaks.WORDS}
+    assert sum((d, k) in got for d, k in enumerate(want)) >= recall * len(want)
+    assert len(got - set(enumerate(want))) == 0
+
+
+def test_rare_is_counted_without_copies():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    one = " ".join(rng.choice(words) for _ in range(60))
+    items = [one] * 5 + [one.replace(words[0], "other") + " end" for _ in range(5)] + [" ".join(rng.choice(words) for _ in range(60)) for _ in range(20)]
+    grams, triples = leaks.common_keys(items)
+    assert len(grams) == len(triples) == 0
+    index = leaks.Index(list(enumerate(items)))
+    assert {k for _, k, n in leaks.leaks_of(index, [" ".join(one.split()[10:40])]) if n >= 20} == set(range(10))
+
+
 def test_align_equals_plain_alignment():
     """The banded, batched alignment finds the score of an unbanded one when the band holds it."""
     rng = np.random.default_rng(1)
