@@ -28,9 +28,9 @@ from sonograin.tables import spread
 
 #: Characters of a q-gram and width of a band in characters.
 Q, BAND = 16, 48
-#: What the two best bands of a pair hold at least under the edit budget: rare q-grams, and characters of the passage that q-grams
-#: cover (a share of 0.99 of stretches of 20 words with five of them changed hold 10 and 67).
-RARE_GRAMS, LEAST_COVERED = 10, 56
+#: Rare q-grams that the two best bands of a pair hold at least under the edit budget (a share of 0.99 of stretches of 20 words with five
+#: of them changed hold 10). Others propose nothing, so they are in no index.
+RARE_GRAMS = 10
 #: Passages (copies and near-copies counted once) up to which a q-gram or triple of words is rare, as a number and as a share of all;
 #: share of its q-grams that makes a passage a near-copy of another.
 RARE, RARE_SHARE, NEAR_COPY = 2, 0.005, 0.5
@@ -162,7 +162,7 @@ def common_keys(passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Index:
-    """Q-grams of a block of passages: sorted hashes, postings, and a bit per hash prefix to rule most out; the passages' words."""
+    """Rare q-grams of a block of passages: sorted hashes, postings, and a bit per hash prefix to rule most out; the passages' words."""
 
     def __init__(self, items: list[tuple[int, str]], common: tuple[np.ndarray, np.ndarray] | None = None) -> None:
         self.ids = np.array([i for i, _ in items], np.int64)
@@ -183,22 +183,22 @@ class Index:
         sizes = np.array([len(x) for x in hs], np.int64)
         item = np.repeat(np.arange(len(hs)), sizes)
         pos = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        order = np.argsort(h, kind="stable")
+        rare = np.flatnonzero(~np.isin(h, common_grams))
+        order = rare[np.argsort(h[rare], kind="stable")]
         self.item, self.pos = item[order], pos[order]
         self.keys, self.first = np.unique(h[order], return_index=True)
-        self.count = np.diff(np.append(self.first, len(h)))
-        self.rare = ~np.isin(self.keys, common_grams)
+        self.count = np.diff(np.append(self.first, len(order)))
         self.bits = np.zeros(1 << 24, bool)
         self.bits[(self.keys >> np.uint64(40)).astype(np.int64)] = True
         #: word of the passage that a q-gram begins in (behind the blank it may begin with)
         self.word_at = np.concatenate([np.cumsum(c == 32)[: len(x)] for c, x in zip(codes, hs, strict=True)])[order] if len(h) else np.zeros(0, np.int64)
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position in the text, posting, whether the q-gram is rare) of every shared q-gram."""
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in the text, posting) of every shared q-gram."""
         h = grams(codes)
         at = np.flatnonzero(self.bits[(h >> np.uint64(40)).astype(np.int64)]) if len(h) else np.zeros(0, np.int64)
         if not len(at) or not len(self.keys):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         k = np.searchsorted(self.keys, h[at])
         k[k == len(self.keys)] = 0
         ok = self.keys[k] == h[at]
@@ -206,7 +206,7 @@ class Index:
         n = self.count[k]
         rep = np.repeat(np.arange(len(at)), n)
         offs = np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
-        return at[rep], self.first[k][rep] + offs, self.rare[k][rep]
+        return at[rep], self.first[k][rep] + offs
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -248,27 +248,27 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     return kept >> 40, (kept >> 20) & low, end_a, kept & low, end_b
 
 
-#: Columns of a band: document, item, set of bands, diagonal band, characters covered, rare q-grams, and the first and last word
-#: of its q-grams in the text and in the passage.
-_DOC, _ITEM, _SET, _KEY, _COVERED, _RARE, _T0, _T1, _P0, _P1 = range(10)
+#: Columns of a band: document, item, set of bands, diagonal band, q-grams, and the first and last word of its q-grams in the text and
+#: in the passage.
+_DOC, _ITEM, _SET, _KEY, _GRAMS, _T0, _T1, _P0, _P1 = range(9)
 
 
 def _bands(index: Index, parts: list[tuple[int, int, int, bool, str]]) -> np.ndarray:
     """Shared q-grams of texts (document, characters and words before it, whether it is a whole document, text) counted in overlapping
-    diagonal bands, a row a band; whole documents only where a pair has enough rare q-grams at all."""
+    diagonal bands, a row a band; of whole documents only where a pair has enough of them at all."""
     n_items = len(index.ids)
     codes = _codes("\n\n".join(p[-1] for p in parts))
     ends = np.cumsum([len(p[-1]) + 2 for p in parts])
-    at, posting, rare = index.hits(codes)
+    at, posting = index.hits(codes)
     part = np.searchsorted(ends, at, "right")
     pair = part * n_items + index.item[posting]
+    shared, where = np.unique(pair, return_inverse=True)
     least = np.array([RARE_GRAMS if p[3] else 1 for p in parts])
-    n_rare = np.bincount(pair[rare], minlength=len(parts) * n_items)
-    some = np.flatnonzero((n_rare >= np.repeat(least, n_items))[pair])
+    some = np.flatnonzero((np.bincount(where, minlength=len(shared)) >= least[shared // max(n_items, 1)])[where])
     if not len(some):
-        return np.zeros((0, 10), np.int64)
-    at, posting, rare, part, pair = at[some], posting[some], rare[some], part[some], pair[some]
-    chars, words = (np.array([p[i] for p in parts], np.int64)[part] for i in (1, 2))
+        return np.zeros((0, 9), np.int64)
+    at, posting, part, pair = at[some], posting[some], part[some], pair[some]
+    doc, chars, words = (np.array([p[i] for p in parts], np.int64)[part] for i in (0, 1, 2))
     begin = np.append(0, ends[:-1])[part]
     blanks = np.append(0, np.cumsum(codes == 32))
     t_word = blanks[at + 1] - blanks[begin] + words
@@ -277,22 +277,25 @@ def _bands(index: Index, parts: list[tuple[int, int, int, bool, str]]) -> np.nda
     out = []
     for half in (0, 1):
         band = (diag + half * (BAND // 2)) // BAND
-        order = np.lexsort((pos, band, pair))
-        k, d, p = pair[order], band[order], pos[order]
+        order = np.lexsort((band, pair))
+        k, d = pair[order], band[order]
         new = np.ones(len(k), bool)
         new[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1])
-        step = np.full(len(k), Q)
-        step[1:] = np.where(new[1:], Q, np.minimum(p[1:] - p[:-1], Q))
         first = np.flatnonzero(new)
         tw, pw = t_word[order], p_word[order]
-        cols = [
-            np.array([x[0] for x in parts])[part[order][first]], k[first] % n_items, np.full(len(first), half), d[first], np.add.reduceat(step, first), np.add.reduceat(rare[order].astype(np.int64), first),
-            np.minimum.reduceat(tw, first), np.maximum.reduceat(tw, first), np.minimum.reduceat(pw, first), np.maximum.reduceat(pw, first),
-        ]
+        low, high = np.minimum.reduceat, np.maximum.reduceat
+        cols = [doc[order][first], k[first] % n_items, np.full(len(first), half), d[first], np.diff(np.append(first, len(k))), low(tw, first), high(tw, first), low(pw, first), high(pw, first)]
         out.append(np.stack(cols, axis=1))
     return np.concatenate(out)
 
 
+def _starts(rows: np.ndarray, last: int) -> np.ndarray:
+    """Where sorted rows begin to differ from the row before in the columns up to `last`."""
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, : last + 1] != rows[:-1, : last + 1]).any(axis=1)
+    return np.flatnonzero(new)
+
+
 def _candidates(bands: np.ndarray) -> np.ndarray:
     """Bands of the pairs whose two best bands of one set hold what the edit budget leaves.
 
@@ -300,27 +303,19 @@ def _candidates(bands: np.ndarray) -> np.ndarray:
     if not len(bands):
         return bands
     b = bands[np.lexsort(bands[:, [_KEY, _SET, _ITEM, _DOC]].T)]
-    new = np.ones(len(b), bool)
-    new[1:] = (b[1:, :_KEY + 1] != b[:-1, :_KEY + 1]).any(axis=1)
-    at = np.flatnonzero(new)
-    b = np.stack([b[at, c] if c <= _KEY else (np.minimum if c in (_T0, _P0) else np.maximum).reduceat(b[:, c], at) for c in range(10)], axis=1)
-    b = b[np.lexsort((-b[:, _RARE], b[:, _SET], b[:, _ITEM], b[:, _DOC]))]
-    new = np.ones(len(b), bool)
-    new[1:] = (b[1:, :_SET + 1] != b[:-1, :_SET + 1]).any(axis=1)
-    at = np.flatnonzero(new)
-    place = np.arange(len(b)) - np.repeat(at, np.diff(np.append(at, len(b))))
-    best = place < 2
-    rare, covered = np.add.reduceat(b[:, _RARE] * best, at), np.add.reduceat(b[:, _COVERED] * best, at)
-    ok = (rare >= RARE_GRAMS) & (covered >= LEAST_COVERED)
-    # of the two sets of bands, which overlap, a pair is taken from the one with more rare q-grams
+    at = _starts(b, _KEY)
+    b = np.stack([b[at, c] if c <= _KEY else (np.minimum if c in (_T0, _P0) else np.maximum).reduceat(b[:, c], at) for c in range(9)], axis=1)
+    b = b[np.lexsort((-b[:, _GRAMS], b[:, _SET], b[:, _ITEM], b[:, _DOC]))]
+    at = _starts(b, _SET)
+    group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(b))))
+    best = np.arange(len(b)) - at[group] < 2
+    held = np.add.reduceat(b[:, _GRAMS] * best, at)
+    # of the two sets of bands, which overlap, a pair is taken from the one that holds more
     head = b[at]
-    order = np.lexsort((head[:, _SET], -(rare * ok), head[:, _ITEM], head[:, _DOC]))
-    lead = np.ones(len(order), bool)
-    lead[1:] = (head[order][1:, :_ITEM + 1] != head[order][:-1, :_ITEM + 1]).any(axis=1)
+    order = np.lexsort((head[:, _SET], -held, head[:, _ITEM], head[:, _DOC]))
     use = np.zeros(len(at), bool)
-    use[order[lead]] = True
-    group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(b))))
-    return b[(use & ok)[group] & ((b[:, _RARE] > 0) | best)]
+    use[order[_starts(head[order], _ITEM)]] = True
+    return b[(use & (held >= RARE_GRAMS))[group]]
 
 
 #: Matches, passage from, to, text from, to in words.
@@ -399,7 +394,7 @@ def leaks_of(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int]]:
                 queue, size = [], 0
     if queue:
         bands.append(_bands(index, queue))
-    chosen = _candidates(np.concatenate(bands) if bands else np.zeros((0, 10), np.int64))
+    chosen = _candidates(np.concatenate(bands) if bands else np.zeros((0, 9), np.int64))
     if not len(chosen):
         return
     words = {d: np.array([index.vocabulary.get(w, -2) for w in texts[d].split(" ")], np.int32) for d in np.unique(chosen[:, _DOC]).tolist()}
