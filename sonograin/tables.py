@@ -1,9 +1,7 @@
-"""Reading the driver's tables, deliveries counted once, checkpoints that survive an executor."""
+"""Reading the driver's tables, deliveries counted once, size-checked broadcast, even partitions."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +27,30 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """df in even partitions by the keys' hash: as many as the session can run four times over, more once the
-    estimated input exceeds `task_bytes` a partition. For work that costs far more than moving its rows."""
-    size = plan_bytes(df)
-    tasks = size // task_bytes if size < UNKNOWN_BYTES else 0
-    return df.repartition(max(4 * df.sparkSession.sparkContext.defaultParallelism, tasks), *keys)
+    """A scan in even partitions by the keys' hash: as many as the session can run four times over, more once the
+    estimated input exceeds `task_bytes` a partition. For work that costs far more than moving its rows.
+
+    An input whose files alone make more tasks than that stays as it is: there is nothing to even out, and a shuffle of the whole
+    texts would cost more than it saves."""
+    size, spark = plan_bytes(df), df.sparkSession
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    known = size < UNKNOWN_BYTES
+    if known and size // _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")) >= 4 * tasks:
+        return df
+    return df.repartition(max(tasks, size // task_bytes if known else 0), *keys)
+
+
+def rebalance(df: DataFrame, *keys: str) -> DataFrame:
+    """df, behind joins whose size no estimate tells, in even partitions by the keys' hash: as many as the session can run four times
+    over, or its shuffle partitions if these are more."""
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
+def _bytes(size: str) -> int:
+    """Bytes of a setting like 134217728, 134217728b, 128m or 1g."""
+    digits = size.lower().rstrip("bkmgt")
+    return int(digits) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(size.lower().rstrip("b")[-1:], 0)
 
 
 def once(df: DataFrame, stamp: str = "written_at") -> DataFrame:
@@ -41,13 +58,3 @@ def once(df: DataFrame, stamp: str = "written_at") -> DataFrame:
 
     A missing stamp column is no error. Empty in, empty out. Nulls compare as equal."""
     return df.drop(stamp).distinct()
-
-
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names in
-    spark.checkpoint.dir; a folder of our own is set only where none is named (local tests)."""
-    sc = df.sparkSession.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="sonograin-checkpoint-"))
-    return df.checkpoint(eager=True)
