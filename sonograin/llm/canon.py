@@ -1,8 +1,8 @@
 """One consistent written form for text that looks alike (problem 4).
 
-Method: Unicode quick-check.  Only code points that can be unstable (they decompose, may compose with
+Method: Unicode quick-check.  Only code points that can be unstable (that fail the quick check of the normal form, may compose with
 a neighbour, are invisible, or imitate a Latin letter) are looked for; each run of them is widened to
-its boundary context, normalised, and spliced into the text, which is otherwise not touched.
+its boundary context, normalised, and spliced into the text, which is otherwise not touched; words with imitating letters likewise.
 """
 
 from __future__ import annotations
@@ -60,8 +60,9 @@ def _script(ch: str) -> str:
 _script = lru_cache(maxsize=65536)(_script)
 
 
-def _invisible(cp: int) -> bool:
-    return any(a <= cp <= b for a, b in INVISIBLE_RANGES)
+INVISIBLE = frozenset(cp for a, b in INVISIBLE_RANGES for cp in range(a, b + 1))
+# Joiners that change the shape of an Indic cluster or join pictographs.
+NON_JOINER, JOINER = 0x200C, 0x200D
 
 
 def _plain(ch: str) -> str:
@@ -77,96 +78,127 @@ def _plain(ch: str) -> str:
     return "".join(_plain(chr(int(x, 16))) for x in parts)
 
 
+# Blocks whose characters neither decompose nor compose with what is before them: ideographs, Hangul syllables,
+# surrogates and private use, and the planes behind the emoji.
+STABLE_BLOCKS = ((0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0xD800, 0xF8FF), (0x20000, 0x2F7FF), (0x2FA20, 0xDFFFF), (0xE1000, 0x10FFFF))
+
+
 @lru_cache(maxsize=1)
-def _tables() -> tuple[re.Pattern, dict[int, str]]:
-    """The pattern of unstable runs, and the look-keeping decomposition of those code points that have one."""
+def _tables() -> tuple[re.Pattern, dict[int, str | None]]:
+    """The pattern of unstable runs, and what such a code point is replaced by before composing: its look-keeping
+    decomposition, or nothing."""
     unstable, plain = [], {0x2010: "-", 0x2011: "-"}
-    spans = ((0x80, 0x33FF), (0xA000, 0xABFF), (0xF900, 0xFFFF), (0x10000, 0x11FFF), (0x1D100, 0x1D7FF), (0x1F100, 0x1F1FF), (0x2F800, 0x2FA1F), (0xE0000, 0xE0FFF))
-    for a, b in spans:
-        for cp in range(a, b + 1):
+    begin = 0x80
+    for a, b in (*STABLE_BLOCKS, (0x110000, 0x110000)):
+        for cp in range(begin, a):
             ch = chr(cp)
             p = _plain(ch)
-            if p != ch and (unicodedata.decomposition(ch).startswith("<") or unicodedata.normalize("NFC", ch) != ch):
+            stable = unicodedata.is_normalized("NFC", ch)
+            if p != ch and (not stable or unicodedata.decomposition(ch).startswith("<")):
                 plain[cp] = p
-            if cp in plain or _invisible(cp) or ch in _IMITATES or unicodedata.combining(ch):
+            # combining marks, and what the quick check answers with "maybe": it composes with a letter before it
+            if cp in plain or cp in INVISIBLE or ch in _IMITATES or not stable or unicodedata.combining(ch) or cp in _SECONDS:
                 unstable.append(cp)
+        begin = b + 1
     runs, start = [], None
-    for x, y in zip(unstable, [*unstable[1:], None]):
+    for x, y in zip(unstable, [*unstable[1:], None], strict=True):
         start = x if start is None else start
         if y != x + 1:
             runs.append(f"{re.escape(chr(start))}-{re.escape(chr(x))}")
             start = None
-    return re.compile(f"[{''.join(runs)}]+"), plain
+    return re.compile(f"[{''.join(runs)}]+"), plain | dict.fromkeys(INVISIBLE)
+
+
+def _seconds() -> frozenset[int]:
+    """Code points that are the second part of a canonical decomposition, and the jamo that complete a syllable."""
+    out = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    begin = 0
+    for a, b in (*STABLE_BLOCKS, (0x110000, 0x110000)):
+        for cp in range(begin, a):
+            d = unicodedata.decomposition(chr(cp))
+            if d and d[0] != "<" and " " in d:
+                out.add(int(d.split()[1], 16))
+        begin = b + 1
+    return frozenset(out)
+
+
+_SECONDS = _seconds()
+
 
+_JOINERS = re.compile(f"[{chr(NON_JOINER)}{chr(JOINER)}]")
 
-def _splice(seg: str, plain: dict[int, str]) -> str:
+
+def _kept(seg: str, i: int, after: str) -> bool:
+    """Whether the joiner at seg[i] does something to its neighbours; `after`: the character behind the segment."""
+    nxt = seg[i + 1 : i + 2] or after
+    if not i or not nxt:
+        return False
+    if unicodedata.combining(seg[i - 1]) == VIRAMA_CLASS:
+        return True
+    return ord(seg[i]) == JOINER and ord(nxt) > 0x2190 and unicodedata.category(nxt) == "So"
+
+
+@lru_cache(maxsize=1 << 16)
+def _spliced(seg: str) -> str:
     """Canonical form of one segment with its context: invisible characters out, plain forms in, composed."""
-    out = []
-    for i, ch in enumerate(seg):
-        cp = ord(ch)
-        if _invisible(cp):
-            joiner = cp in (0x200C, 0x200D)
-            if joiner and i and unicodedata.combining(seg[i - 1]) == VIRAMA_CLASS and i + 1 < len(seg):
-                out.append(ch)  # changes the shape of an Indic cluster
-            elif cp == 0x200D and i and i + 1 < len(seg) and ord(seg[i + 1]) > 0x2190 and not seg[i + 1].isalpha() and unicodedata.category(seg[i + 1]) == "So":
-                out.append(ch)  # joins pictographs
-            continue
-        out.append(plain.get(cp, ch))
-    return unicodedata.normalize("NFC", "".join(out))
+    return unicodedata.normalize("NFC", seg.translate(_tables()[1]))
+
+
+def _with_joiners(seg: str, after: str) -> str:
+    plain = _tables()[1]
+    return unicodedata.normalize("NFC", "".join(ch if ord(ch) in (JOINER, NON_JOINER) and _kept(seg, i, after) else ch.translate(plain) for i, ch in enumerate(seg)))
 
 
 _FOREIGN = re.compile("[" + "".join(sorted(_IMITATES)) + "]")
-_LETTERS = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
+#: Scripts whose letters make one word with Latin ones; those of others (of spaceless scripts) end it.
+_ALPHABETS = frozenset({"LATIN", *map(_script, _IMITATES)})
+
+
+def _of_word(ch: str) -> bool:
+    return ch.isascii() and ch.isalpha() or _script(ch) in _ALPHABETS or unicodedata.combining(ch) > 0
 
 
 def _latinise(text: str) -> str:
     """Replace imitating letters where the writing is Latin: in a word that also has Latin letters, or in a
     word made up of imitations in a text with no letter that only the other script has."""
-    own: dict[str, bool] = {}  # script -> the text has letters of it that imitate nothing
-    latin = False
-    for ch in text:
-        if ch.isascii():
-            latin = latin or ch.isalpha()
-        elif ch not in _IMITATES and (s := _script(ch)):
-            own[s] = True
-            latin = latin or s == "LATIN"
-    genuine = {s for s in own if s != "LATIN"}
-
-    def word(m: re.Match) -> str:
-        w = m.group()
-        if not _FOREIGN.search(w):
-            return w
-        mixed = any(c.isascii() or (c not in _IMITATES and _script(c) == "LATIN") for c in w)
+    genuine = {_script(ch) for ch in set(text) if not ch.isascii() and ch not in _IMITATES} & (_ALPHABETS - {"LATIN"})
+    out, at = [], 0
+    for m in _FOREIGN.finditer(text):
+        if m.start() < at:
+            continue
+        a, b = m.start(), m.end()
+        while a > at and _of_word(text[a - 1]):
+            a -= 1
+        while b < len(text) and _of_word(text[b]):
+            b += 1
+        w = text[a:b]
         scripts = {_script(c) for c in w if c in _IMITATES}
-        others = any(not c.isascii() and c not in _IMITATES and _script(c) not in ("LATIN", "") and not unicodedata.combining(c) for c in w)
-        if others or not (mixed or not (scripts & genuine)):
-            return w
-        return "".join(_IMITATES.get(c, c) for c in w)
-
-    return _LETTERS.sub(word, text)
+        own = {_script(c) for c in w if c not in _IMITATES} - {""}
+        if own <= {"LATIN"} and ("LATIN" in own or not scripts & genuine):
+            w = "".join(_IMITATES.get(c, c) for c in w)
+        out += [text[at:a], w]
+        at = b
+    out.append(text[at:])
+    return "".join(out)
 
 
 def canonical(text: str | None) -> str | None:
     """The consistent form of a text. Null stays null; '' stays ''; ASCII text is returned as it is."""
     if text is None or text.isascii():
         return text
-    pattern, plain = _tables()
-    if not pattern.search(text):
-        return text
+    joiners = _JOINERS.search(text)
     out, at = [], 0
-    for m in pattern.finditer(text):
+    for m in _tables()[0].finditer(text):
         a, b = m.span()
-        if a < at:
-            continue
         if a > at and not text[a - 1].isspace():
             a -= 1  # the starter that the run may compose with
-        if b < len(text) and not text[b].isspace():
-            b += 1
-        a = max(a, at)
-        out += [text[at:a], _splice(text[a:b], plain)]
+        seg = text[a:b]
+        out += text[at:a], _with_joiners(seg, text[b : b + 1]) if joiners and _JOINERS.search(seg) else _spliced(seg)
         at = b
+    if not at:
+        return text
     out.append(text[at:])
-    done = unicodedata.normalize("NFC", "".join(out))
+    done = "".join(out)
     return _latinise(done) if _FOREIGN.search(done) else done
 
 
@@ -213,28 +245,35 @@ def canonicalize(df: DataFrame, column: str, into: str) -> DataFrame:
     return df.withColumn(into, canonical_column(F.col(column)))
 
 
+def look_alike_classes(df: DataFrame, group: list[str], text: str, key: str | None = None) -> DataFrame:
+    """(group, key, text, class BIGINT, spelling BIGINT, spellings, rows): every row whose text has a look-alike stored differently in
+    its group, with its class (all that look the same), its spelling, and how many different spellings and rows the class has.
+
+    `key`: column that names a row; None: the stored text itself. Rows with null or blank text, or null key, are in no class.
+    Spellings are found before rows meet them, so a text that recurs is one row a task."""
+    src = df.select(*group, F.col(text).alias("text"), F.col(key or text).cast("string").alias("key")).where("text IS NOT NULL AND key IS NOT NULL").distinct()
+    per = src.groupBy(*group, "text").agg(F.count("*").alias("n")) if key else src.select(*group, "text", F.lit(1).cast("bigint").alias("n"))
+    per = per.withColumn("__c", squash(canonical_column(F.col("text")))).where("__c <> ''")
+    names = [f"__g{i}" for i in range(len(group))]
+    classes = per.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names, strict=True)], F.col("__c").alias("__cc")).agg(F.count("*").alias("spellings"), F.sum("n").alias("rows")).where("spellings > 1")
+    hit = per.join(classes, _same(group, "__c", "__cc")).select(*group, "text", F.xxhash64(*group, "__c").alias("class"), F.xxhash64("text").alias("spelling"), "spellings", "rows")
+    if not key:
+        return hit.withColumn("key", F.col("text"))
+    side = hit.select(*[F.col(g).alias(n) for g, n in zip(group, names, strict=True)], F.col("text").alias("__t"), "class", "spelling", "spellings", "rows")
+    return src.join(side, _same(group, "text", "__t")).select(*group, "key", "text", "class", "spelling", "spellings", "rows")
+
+
 def look_alike_pairs(df: DataFrame, group: list[str], text: str, key: str | None = None) -> DataFrame:
     """Pairs (key_1 < key_2 by code point) within a group that look the same but are stored differently.
 
-    `key`: column that names a record; None: the stored text itself is the name.  Only spellings that
-    share their canonical form with another spelling are paired, never all rows of a group.  Rows
+    Every member of a class is paired with those of its other spellings, never with those of its own; where that is too much
+    (one text stored many times in two ways), look_alike_classes() says the same in one row a member.  Rows
     with null or blank text, or null key, have no pair."""
-    src = df.select(*group, F.col(text).alias("__t"), F.col(key or text).cast("string").alias("__k")).where(
-        F.col("__t").isNotNull() & F.col("__k").isNotNull()
-    )
-    src = src.distinct().withColumn("__c", squash(canonical_column(F.col("__t")))).where(F.col("__c") != "")
-    # spellings of one canonical form: only where two exist does anything go on
-    spellings = src.groupBy(*group, "__c").agg(F.min("__t").alias("__lo"), F.max("__t").alias("__hi")).where("__lo <> __hi")
-    hit = src.join(
-        spellings.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("__c").alias("__cc")),
-        _same(group, "__c", "__cc"), "left_semi")
-    hit = hit.select(*[F.col(g).alias(g) for g in group], "__c", "__t", "__k")
-    other = hit.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("__c").alias("__cc"), F.col("__t").alias("__t2"), F.col("__k").alias("__k2"))
-    return (
-        hit.join(other, _same(group, "__c", "__cc") & (F.col("__k") < F.col("__k2")) & (F.col("__t") != F.col("__t2")))
-        .select(*group, F.col("__k").alias("key_1"), F.col("__k2").alias("key_2"))
-        .distinct()
-    )
+    hit = look_alike_classes(df, group, text, key).select(*group, "key", "class", "spelling")
+    names = [f"__g{i}" for i in range(len(group))]
+    other = hit.select(*[F.col(g).alias(n) for g, n in zip(group, names, strict=True)], F.col("class").alias("__cc"), F.col("key").alias("__k2"), F.col("spelling").alias("__s2"))
+    on = _same(group, "class", "__cc") & (F.col("key") < F.col("__k2")) & (F.col("spelling") != F.col("__s2"))
+    return hit.join(other, on).select(*group, F.col("key").alias("key_1"), F.col("__k2").alias("key_2")).distinct()
 
 
 def squash(c: Column) -> Column:

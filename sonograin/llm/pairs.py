@@ -1,9 +1,10 @@
 """Defects of prompt and response pairs, here a text and its Chinese rendering (problem 7).
 
 Copies: the response is compressed with the prompt as zstandard dictionary; what costs far fewer bytes than
-on its own repeats the prompt.  Refusals and stand-ins: dictionaries.  Language: scripts and function
-words.  Truncation: a terminal-context model, counted over all pairs, says which characters close a
-rendering; and the sentence units of both sides say whether later sentences are missing.
+on its own repeats the prompt.  Refusals and stand-ins: dictionaries.  Language: scripts, and for what is written in Han alone a
+dictionary of the pairs of characters that Chinese renderings hold, and function words.  Truncation: a terminal-context model says how
+often two characters end a rendering when they occur; and the sentence units of both sides say whether later sentences are missing.
+Dictionary and model are counted over all pairs.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sonograin.llm.canon import canonical
 from sonograin.llm.sentences import sentence_spans
+from sonograin.tables import rebalance
 
 # What stands in for a missing value (letters and digits only, lower case).
 STAND_INS = frozenset("na nan none null nil todo tbd tba undefined empty missing blank untranslated fixme xxx unknown 无 暂无 空 缺 略 待译 待翻译 未翻译 待补 没有 翻译 译文".split())
@@ -35,8 +37,10 @@ REFUSALS = tuple(
     )
 )
 _CLOSING = "。！？!?.．｡”’」』）)】》\"'"
-_ENDS = "。！？!?.．｡”’」』"
+# Marks that leave a sentence open.
+_LEFT_OPEN = "—–-―…·~～，、；：,;:“‘「『（(《〈【["
 _HAN = re.compile(r"[\u3400-\u9fff\uf900-\ufaff々〇]")
+_HAN_RUN = re.compile(r"[\u3400-\u9fff\uf900-\ufaff々〇]+")
 _KANA = re.compile(r"[\u3040-\u30ff]")
 _FILES = re.compile(r"[!-~]*\w[_.]\w*\d\w*\.\w+[!-~]*|\b(?:[A-Z]\.){1,6}|\b\w*\d\w*\b", re.ASCII)
 _PLAIN = re.compile(r"[\W_]+")
@@ -45,8 +49,13 @@ _PLAIN = re.compile(r"[\W_]+")
 COPIED = 0.6
 #: Least share of Han among the letters of a Chinese rendering.
 CHINESE = 0.35
-#: Share of all final characters, and number of them, from which a character closes a rendering, beside the known marks.
-CLOSES, LEAST_SEEN = 0.02, 20
+#: Share of its occurrences from which a pair of characters closes a rendering by standing last, beside the known marks.
+CLOSES = 0.5
+#: Least share of all pairs of characters that one in the dictionary has: at most 1 / KNOWN of them come to the driver.  Share of known
+#: ones under which a response in Han alone, without a function word, is no Chinese, and least pairs to say so.
+KNOWN, COVERED, LEAST_PAIRS = 1e-5, 0.3, 6
+# Function words of one character in Chinese.
+FUNCTION = frozenset("的了是在不他她我你们这那有和着就也都没把被让从对吗呢吧")
 #: Rendered length per source character, as a share of the usual one, under which fewer sentences mean missing ones.
 SHORT = 1.15
 
@@ -62,8 +71,12 @@ def _packed(data: bytes, prompt: bytes | None, size: int) -> int:
 
 def copied_share(prompt: str, response: str) -> float:
     """Bytes of the response compressed with the prompt as dictionary, as a share of its own; 1.0 is none."""
-    a = _PLAIN.sub(" ", canonical(prompt).casefold()).strip().encode()
-    b = _PLAIN.sub(" ", canonical(response).casefold()).strip().encode()
+    return _copied(canonical(prompt), canonical(response))
+
+
+def _copied(prompt: str, response: str) -> float:
+    a = _PLAIN.sub(" ", prompt.casefold()).strip().encode()
+    b = _PLAIN.sub(" ", response.casefold()).strip().encode()
     if not _HAN.search(prompt):  # a heading put before the copy is no part of it
         b = re.sub(rb" +", b" ", _HAN.sub(" ", b.decode()).strip().encode())
     if len(b) < 4 or len(a) < 8:
@@ -76,62 +89,78 @@ def copied_share(prompt: str, response: str) -> float:
 
 
 def is_refusal(response: str) -> bool:
-    """Whether a response declines the task."""
-    r = canonical(response).replace("’", "'")
+    """Whether a response (in canonical form) declines the task."""
+    r = response.replace("’", "'")
     return any(a.search(r) and b.search(r) for a, b in REFUSALS)
 
 
 def scripts(response: str) -> tuple[int, int, int]:
-    """Letters of a response: Han, kana, all. File names, initials and numbers are left out."""
-    r = _FILES.sub(" ", canonical(response))
+    """Letters of a response (in canonical form): Han, kana, all. File names, initials and numbers are left out."""
+    r = _FILES.sub(" ", response)
     return len(_HAN.findall(r)), len(_KANA.findall(r)), sum(map(str.isalpha, r))
 
 
-def last_mark(s: str) -> str:
-    s = s.rstrip()
-    return s[-1:] if s else ""
+def is_foreign(response: str, chinese: frozenset[str]) -> bool:
+    """Whether a response (in canonical form) is in another language than Chinese, by its scripts and the dictionary."""
+    han, kana, letters = scripts(response)
+    if kana and kana >= 0.1 * letters or letters and han < CHINESE * letters:
+        return True
+    pairs = [p for run in _HAN_RUN.findall(response) for p in map("".join, zip(run, run[1:], strict=False))]
+    return len(pairs) >= LEAST_PAIRS and FUNCTION.isdisjoint(response) and sum(p in chinese for p in pairs) < COVERED * len(pairs)
 
 
-def defect(text: str | None, trans: str | None, lang: str | None, closes: frozenset, usual: float | None) -> str | None:
-    """The defect of one pair, or None. `usual`: rendered characters per source character in this language."""
-    plain = _PLAIN.sub("", canonical(trans)).lower() if trans else ""
+def defect(text: str | None, trans: str | None, lang: str | None, closes: frozenset, usual: float | None, chinese: frozenset = frozenset()) -> str | None:
+    """The defect of one pair, or None. `usual`: rendered characters per source character in this language; `closes`, `chinese`: of
+    rendering_model()."""
+    out = canonical(trans).strip() if trans else ""
+    plain = _PLAIN.sub("", out).lower()
     if not plain or plain in STAND_INS:
         return "empty"
-    src = canonical(text or "")
-    out = canonical(trans).strip()
-    han, kana, letters = scripts(trans)
-    if src.strip() and han < 0.6 * max(letters, 1) and copied_share(text, trans) <= COPIED:
+    src = canonical(text or "").strip()
+    han, _, letters = scripts(out)
+    if src and han < 0.6 * max(letters, 1) and _copied(src, out) <= COPIED:
         return "copy"
-    if is_refusal(trans):
+    if is_refusal(out):
         return "refusal"
-    if kana and kana >= 0.1 * letters or letters and han < CHINESE * letters:
+    if is_foreign(out, chinese):
         return "wrong_language"
-    ends = last_mark(src)
+    ends = src[-1:]
     finished = ends != "" and ends in "。！？!?.…”’\"»“›)」"
-    final = last_mark(out)
+    if not finished:
+        return None
+    final = out[-1:]
     if final in ".．" and out[-2:-1].isdigit():
         final = out[-2]  # a number that breaks off, no end mark
-    if finished and final not in _CLOSING and final not in closes and not (final == "…" and ends == "…"):
+    elif final not in _LEFT_OPEN and out[-2:] in closes:
+        final = "。"
+    if final not in _CLOSING and not (final == "…" and ends == "…"):
+        return "truncated"
+    if usual and len(out) < SHORT * usual * len(src) and len(sentence_spans(out, "zh")) < len(sentence_spans(text, lang)):
         return "truncated"
-    if finished:
-        n_src, n_out = len(sentence_spans(text, lang)), len(sentence_spans(out, "zh"))
-        if n_out < n_src and usual and len(out) < SHORT * usual * len(src.strip()):
-            return "truncated"
     return None
 
 
-def closing_characters(df: DataFrame, text: str, trans: str) -> list[str]:
-    """Terminal-context model: characters that end at least CLOSES of the Chinese renderings whose source
-    ends in a final mark. At most 1 / CLOSES characters come to the driver."""
-    last = df.select(F.substring(F.rtrim(F.col(trans)), -1, 1).alias("c"), F.rtrim(F.col(text)).alias("t"))
-    per = last.where(F.col("t").rlike("[.!?。！？]$") & F.col("c").rlike(r"\p{IsHan}|\p{P}")).groupBy("c").agg(F.count("*").alias("n"))
-    total = per.agg(F.sum("n").alias("total"))
-    return [r["c"] for r in per.where((F.col("n") >= CLOSES * total.scalar()) & (F.col("n") >= LEAST_SEEN)).collect()]
+def rendering_model(df: DataFrame, trans: str) -> tuple[frozenset[str], frozenset[str]]:
+    """(pairs of characters that close a rendering, pairs of Han that Chinese renderings hold), both counted over all renderings.
+
+    A pair closes if it stands last in more than CLOSES of its occurrences, two of them taken off for chance."""
+    t = F.rtrim(F.col(trans))
+    rows = df.where(F.length(t) >= 2).select(t.alias("t"))
+    cut = F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: F.struct(F.substring(F.col("t"), i, F.lit(2)).alias("g"), (i == F.length("t") - 1).alias("last")))
+    grams = rows.select(F.explode(cut).alias("x")).groupBy("x.g").agg(F.count("*").alias("n"), F.count_if("x.last").alias("last"))
+    total = grams.agg(F.sum("n")).scalar()
+    closes, chinese = set(), set()
+    for g, n, last in grams.where(F.col("n") >= KNOWN * total).collect():
+        if last > CLOSES * (n + 2):
+            closes.add(g)
+        if len(_HAN.findall(g)) == 2:
+            chinese.add(g)
+    return frozenset(closes), frozenset(chinese)
 
 
 def usual_lengths(df: DataFrame, text: str, trans: str, lang: str) -> DataFrame:
     """(lang, usual DOUBLE): median length of a rendering per source character, over the pairs in Chinese."""
-    han = F.length(F.regexp_replace(F.col(trans), r"[^\p{IsHan}]", ""))
+    han = F.length(F.regexp_replace(F.col(trans), r"[^\u3400-\u9fff\uf900-\ufaff]", ""))
     ok = (han > 0.4 * F.length(F.col(trans))) & (F.length(F.col(text)) >= 20)
     return df.where(ok).groupBy(lang).agg(F.percentile_approx(F.length(F.trim(F.col(trans))) / F.length(F.trim(F.col(text))), 0.5, 1000).alias("usual"))
 
@@ -142,16 +171,18 @@ def broken_pairs(df: DataFrame, key: list[str], text: str, trans: str, lang: str
     The first that holds in this order counts.  A null or blank text with a response can only be refused or in
     another language.  Null language: judged by script, its usual length is that of all null ones.
     Repeated rows give repeated results; an empty table gives none."""
-    closes = frozenset(closing_characters(df, text, trans))
+    closes, chinese = rendering_model(df, trans)
     usual = usual_lengths(df, text, trans, lang).select(F.col(lang).alias("__l"), "usual")
     src = df.select(*key, F.col(text).alias("__text"), F.col(trans).alias("__trans"), F.col(lang).alias("__lang"))
     src = src.join(usual, F.col("__lang").eqNullSafe(F.col("__l")), "left").select(*key, "__text", "__trans", "__lang", "usual")
     kinds = dict(df.dtypes)
+    # the work per byte is high, and the join above leaves few partitions
+    src = rebalance(src, *key)
 
     def run(batches):
         for pdf in batches:
             found = [
-                defect(t, x, g, closes, u if u == u else None)
+                defect(t, x, g, closes, u if u == u else None, chinese)
                 for t, x, g, u in zip(pdf["__text"], pdf["__trans"], pdf["__lang"], pdf["usual"], strict=True)
             ]
             out = pdf[key].assign(defect=pd.Series(found, index=pdf.index, dtype=object))

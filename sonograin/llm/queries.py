@@ -76,6 +76,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of look-alike records, one row a record."""
+    return canon.look_alike_classes(table(spark, sf_dir, "canonical_sentences"), CHAPTER, "text", "id")
+
+
 def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record's text in the consistent form."""
     rows = once(table(spark, sf_dir, "canonical_sentences").select(*RECORD, "text", "written_at"))
@@ -144,6 +149,6 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_sentences, p2_found, p2_runs, p3_found, p3_word_grades, p4_found, p4_canonical, p6_deliveries, p6_percentiles, p7_found, p8_ids, p9_found, p10_found, p10_stats)
+    for f in (p1_found, p1_sentences, p2_found, p2_runs, p3_found, p3_word_grades, p4_found, p4_classes, p4_canonical, p6_deliveries, p6_percentiles, p7_found, p8_ids, p9_found, p10_found, p10_stats)
 }
 ORACLES: dict[str, str] = {}

@@ -89,7 +89,7 @@ def test_cheapest_path_of_the_terminator_lattice():
 
 
 @pytest.mark.parametrize(("text", "want"), [
-    ("Τheir lοnely sһօok", "Their lonely shook"), ("ﬁne Ｔｈｅ", "fine The"), ("ét​e\xadx y", "étex y"), ("он был тут", "он был тут"), ("⽊", "木"), ("waited…", "waited…"),
+    ("Τheir lοnely sһօok", "Their lonely shook"), ("ﬁne Ｔｈｅ", "fine The"), ("ét​e\xadx y", "étex y"), ("он был тут", "он был тут"), ("⽊", "木"), ("文件trасk_84.mр3里", "文件track_84.mp3里"), ("waited…", "waited…"),
     ("क्‍ष", "क्‍ष"), ("x² ½", "x² ½"), ("plain", "plain"), ("", ""), (None, None),
 ])
 def test_canonical(text, want):
@@ -97,15 +97,27 @@ def test_canonical(text, want):
     assert canon.canonical(canon.canonical(text)) == want
 
 
+def whole(text):
+    """The canonical form of a text without imitations or joiners, made of the whole text at once."""
+    import unicodedata
+
+    _, plain = canon._tables()
+    return unicodedata.normalize("NFC", text.translate(plain))
+
+
 def test_canonical_splices_like_whole():
-    """Splicing canonical segments gives what normalising the whole text gives."""
+    """Splicing canonical segments gives what normalising the whole text gives, for characters of every block."""
     import unicodedata
 
     rng = random.Random(5)
-    alphabet = "ab ́̈éüﬁＡ가가 "
-    for _ in range(300):
-        t = "".join(rng.choice(alphabet) for _ in range(12))
-        assert canon.canonical(t) == unicodedata.normalize("NFKC", t)
+    some = [chr(cp) for cp in range(0x20, 0x30000) if chr(cp) not in canon._IMITATES and cp not in (0x200C, 0x200D) and unicodedata.category(chr(cp)) not in ("Cs", "Cn", "Co")]
+    some = [c for c in some if not canon._FOREIGN.search(whole(c))]
+    unstable = [c for c in some if canon._tables()[0].fullmatch(c)]
+    assert len(unstable) > 4000
+    for k in range(6000):
+        alphabet = unstable if k % 2 else ["a", "e", "b ", "\u0301", "\u0308", "\u0323", "é", "ü", "ﬁ", "Ａ", "\u1100", "\u1161", "\u11a8", "가", "각", "ｶ", "ﾞ", "\u200b", "\u09c7", "\u09be", "\U00011099", "\U000110ba", "\U0001d15e", "\U0001f201", "\U00012000", " "]
+        t = "".join(rng.choice(alphabet if rng.random() < 0.7 else some) for _ in range(8))
+        assert canon.canonical(t) == whole(t), [hex(ord(c)) for c in t]
 
 
 def test_look_alike_pairs(spark):
@@ -115,6 +127,8 @@ def test_look_alike_pairs(spark):
     assert got == [("b", 1, "s1", "s2"), ("b", 1, "s2", "s3")]
     assert canon.look_alike_pairs(df, ["book", "chapter"], "text", "id").where("book IS NULL").count() == 1
     assert canon.look_alike_pairs(df.where("1 = 0"), ["book", "chapter"], "text").count() == 0
+    classes = canon.look_alike_classes(df, ["book", "chapter"], "text", "id").where("book = 'b'").collect()
+    assert sorted((r["key"], r["spellings"], r["rows"]) for r in classes) == [(f"s{i}", 2, 3) for i in (1, 2, 3)] and len({r["class"] for r in classes}) == 1
 
 
 def brute_runs(events):
@@ -216,6 +230,15 @@ def test_pair_defect(text, trans, want):
     assert pairs.defect(text, trans, "en", frozenset(), 0.34) == want
 
 
+def test_language_and_endings_are_counted(spark):
+    good = ["猫今天坐在红色的垫子上", "快乐的寡妇在港口看见了船只", "大学今天决定延期开学"]
+    rows = [(g + "。",) for g in good for _ in range(5)] + [("他在图书馆里读书呢",)] * 5 + [(None,), ("x",)]
+    closes, chinese = pairs.rendering_model(spark.createDataFrame(rows, "trans string"), "trans")
+    assert {"上。", "书呢"} <= closes and "红色" not in closes and {"大学", "红色"} <= chinese and "上。" not in chinese
+    assert pairs.is_foreign("東京大学入学式延期決定。", chinese) and not pairs.is_foreign("大学今天决定延期开学。", chinese) and not pairs.is_foreign("乔治的新船", chinese)
+    assert pairs.defect("He sat on the red mat.", "猫今天坐在红色", "en", closes, None, chinese) == "truncated" and pairs.defect("He studies in the library.", "他在图书馆里读书呢", "en", closes, None, chinese) is None
+
+
 def test_pairs_spark(spark):
     df = spark.createDataFrame([("b", i, "en", t, x) for i, (t, x, _) in enumerate(PAIRS)] + [("b", 99, None, None, None)], "book string, id int, lang string, text string, trans string").withColumn("usual", F.lit("x"))
     got = {r["id"]: r["defect"] for r in pairs.broken_pairs(df, ["book", "id"], "text", "trans", "lang").collect()}
