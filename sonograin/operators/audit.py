@@ -32,12 +32,19 @@ def union(parts: list[DataFrame]) -> DataFrame:
 def _rules(df: DataFrame, rules: list[tuple[str, Column, str]]) -> DataFrame:
     """Findings of row rules in one pass: each row explodes to the rules that hold."""
     found = F.filter(F.array(*[F.when(F.coalesce(w, F.lit(False)), F.struct(F.lit(r).alias("rule"), F.lit(s).alias("severity"))) for r, w, s in rules]), lambda x: x.isNotNull())
-    ex = df.select(*REC, F.explode(found).alias("f"), F.left(F.col("text"), F.lit(60)).alias("detail"))
+    ex = df.select(*REC, F.explode(found).alias("f"), F.col("text").alias("detail"))
     return ex.select(*REC, "f.rule", "f.severity", "detail")
 
 
-def orthography(c: DataFrame) -> DataFrame:
-    """AU-01: empty texts, words chopped at a line end, lower-case starts, orphan words. URLs follow no grammar."""
+def unclosed_quote(c: Column) -> Column:
+    """Whether curly quotations are opened more often than closed, or straight marks are odd in number."""
+    opens, closes, straight = (F.length(c) - F.length(F.replace(c, F.lit(m), F.lit(""))) for m in "“”\"")
+    return (opens > closes) | (straight % 2 == 1)
+
+
+def orthography(c: DataFrame, quotes: bool = False) -> DataFrame:
+    """AU-01: empty texts, words chopped at a line end, lower-case starts, orphan words, and (`quotes`) quotations left open. URLs follow
+    no grammar."""
     t = F.trim("text")
     url = t.rlike("^https?://")
     bullet = t.rlike(r"^(\(([a-zA-Z]{1,2}|\d{1,3}|[ivxLCDM]+)\)|[a-zA-Z]{1,2}\.|\d{1,3}\.|[ivxLCDM]+\.)")
@@ -48,13 +55,27 @@ def orthography(c: DataFrame) -> DataFrame:
     return _rules(c, [
         ("empty_text", F.coalesce(t, F.lit("")) == "", "error"), ("trailing_hyphen", t.rlike("[a-zA-Z]-$") & ~url, "error"),
         ("lowercase_start", ~head & fragment & ~url, "warning"), ("orphan_word", ~head & orphan & ~url & (t != "") & ~F.coalesce("is_tabular", F.lit(False)), "warning"),
+        *([("unclosed_quote", unclosed_quote(t) & ~url, "error")] if quotes else []),
     ])
 
 
+# What stands before a point that ends no sentence, as it ends the text before it.
+ABBREVIATED = (
+    "Mrs Mr Ms Dr Prof Sr Jr Rev Hon Gen Col Maj Capt Lt Sgt Cpl Pvt Gov Sen Rep Pres Sec Amb Insp Det St Mt Ft Mme Mlle Esq Ph.D M.D B.A M.A U.S U.K U.S.A e.g i.e vs etc al fig pp vol no "
+    "Jan Feb Mar Apr Aug Sept Oct Nov Dec"
+).split()
+
+
 def boundaries(c: DataFrame) -> DataFrame:
-    """AU-02: a sentence boundary inside a record, abbreviations and dialogue set aside (diagnostic only)."""
-    inside = F.col("text").rlike(r"[a-z]{3}[.!?]\s+[A-Z][a-z]") & ~F.ltrim("text").rlike("^[“\"]")
-    return _rules(c, [("several_sentences", inside, "diagnostic")])
+    """AU-02: a sentence boundary inside a record (diagnostic only).
+
+    Set aside: points of abbreviations and initials, the interjections 'No.', 'Oh no.' and 'Hell no.', and records that open with speech and
+    leave it open, close it out of turn, or end it before further words."""
+    abbreviated = "|".join(a.replace(".", r"\.") for a in ABBREVIATED)
+    interjection = r"(?i:(?:^|[.!?]\s{1,20})[\"“‘']?(?:(?:oh|hell)\s{1,20})?no\s{0,20})"
+    inside = F.col("text").rlike(rf"(?<!{abbreviated}|\b[A-Z])(?<!{interjection})(?:[.!?][\"'”’)]*|\*)\s+[A-Z]")
+    speech = F.col("text").rlike(r"^\s*[“\"]") & (unclosed_quote(F.col("text")) | F.col("text").rlike(r"^\s*[“\"][^\n]*[.!?][”\"]\s+[A-Z][a-z]+"))
+    return _rules(c, [("several_sentences", inside & ~speech, "diagnostic")])
 
 
 def typography(c: DataFrame) -> DataFrame:

@@ -314,19 +314,25 @@ def metadata_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.metadata(table(spark, sf_dir, "chapter_metadata")).select(*CH, "rule")
 
 
-@query("""
-WITH c AS (SELECT book, chapter, title, lower(coalesce(title, '')) AS t FROM chapter_metadata)
-SELECT book, chapter, CASE WHEN regexp_matches(t, 'prologue') THEN 'prologue' WHEN regexp_matches(t, 'epilogue') THEN 'epilogue' WHEN regexp_matches(t, '^(preface|foreword|introduction|dedication|contents|copyright)') THEN 'front_matter'
- WHEN regexp_matches(t, '^(acknowledg|appendix|notes|index|bibliography|about the author)') THEN 'back_matter' WHEN regexp_matches(t, '^part ([0-9]+|[ivxlc]+)\\b') THEN 'part' ELSE 'chapter' END AS inferred FROM c
+_ROMANS = ", ".join(f"'{r.upper()}'" for r in tx.roman_numerals(tx.ROMAN_TITLES))
+
+
+@query(rf"""
+WITH c AS (SELECT book, chapter, coalesce(title, '') AS t FROM chapter_metadata),
+n AS (SELECT *, lower(t) AS l, trim(t) AS s, coalesce(nullif(list_position([{_ROMANS}], regexp_extract(t, '^([IVXLCDM]+)\.', 1)), 0), try_cast(nullif(regexp_extract(t, '^(?i:chapter\s+)?([0-9]+)', 1), '') AS INTEGER)) AS number FROM c)
+SELECT book, chapter, number::INTEGER AS number,
+  CASE WHEN number IS NOT NULL THEN 'chapter' WHEN contains(l, 'prologue') OR contains(l, 'preface') OR contains(l, 'foreword') THEN 'preface' WHEN contains(l, 'intro') THEN 'introduction'
+    WHEN contains(l, 'question') OR contains(l, 'appendix') THEN 'appendix' WHEN contains(l, 'note') THEN 'preface' ELSE 'chapter' END AS inferred,
+  CASE WHEN number IS NOT NULL THEN 'Chapter ' || number WHEN contains(l, 'prologue') THEN 'Prologue'
+    WHEN contains(l, 'preface') OR contains(l, 'foreword') THEN CASE WHEN contains(l, 'first') THEN 'Preface (1st Ed)' WHEN contains(l, 'second') THEN 'Preface (2nd Ed)' WHEN contains(l, 'tucker') OR contains(l, 'editorial') THEN 'Editorial Preface' ELSE 'Preface' END
+    WHEN contains(l, 'intro') THEN CASE WHEN contains(l, 'third') THEN 'Intro (3rd Ed)' WHEN contains(l, 'author') THEN 'Author''s Intro' ELSE 'Introduction' END
+    WHEN contains(l, 'question') THEN 'Questions' WHEN contains(l, 'appendix') THEN 'Appendix' WHEN contains(l, 'note') THEN 'Note' WHEN contains(l, 'conclusion') THEN 'Conclusions'
+    WHEN length(s) <= 36 THEN s ELSE coalesce(nullif(trim(regexp_extract(s, '^(.{{1,35}})\b', 1)), ''), trim(left(s, 36))) END AS label FROM n
 """)
 def inferred_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SC-21: role of a chapter by its title."""
-    t = F.lower(F.coalesce("title", F.lit("")))
-    role = (
-        F.when(t.rlike("prologue"), "prologue").when(t.rlike("epilogue"), "epilogue").when(t.rlike("^(preface|foreword|introduction|dedication|contents|copyright)"), "front_matter")
-        .when(t.rlike("^(acknowledg|appendix|notes|index|bibliography|about the author)"), "back_matter").when(t.rlike(r"^part ([0-9]+|[ivxlc]+)\b"), "part").otherwise("chapter")
-    )
-    return table(spark, sf_dir, "chapter_metadata").select(*CH, role.alias("inferred"))
+    """SC-21: role, number and label of every chapter by its title."""
+    m = table(spark, sf_dir, "chapter_metadata").select(*CH, tx.chapter_role(F.col("title")).alias("r"))
+    return m.select(*CH, F.col("r.number").alias("number"), F.col("r.role").alias("inferred"), F.col("r.label").alias("label"))
 
 
 @query("SELECT book, chapter, CAST(coalesce(transcription_options['beam_size'], '0') AS INTEGER) AS beam FROM acoustic_runs")

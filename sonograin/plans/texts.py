@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonograin.functions import text as tx
-from sonograin.operators import sequence
+from sonograin.operators import kernels, sequence
 from sonograin.plans.catalog import query
 from sonograin.tables import once, table
 
@@ -104,11 +104,11 @@ def sentence_metrics_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir)
 
 
-@query(f"WITH {_METRIC_SQL} SELECT book, max(words) AS max_words, max(chars) AS max_chars, count(*) FILTER (level = 'EXTREME') AS extreme_count, count(*) AS total FROM l WHERE words > 0 GROUP BY book ORDER BY max_words DESC, book LIMIT 100")
+@query(f"WITH {_METRIC_SQL} SELECT book, max(words) AS max_words, max(chars) AS max_chars, count(*) FILTER (level = 'EXTREME') AS extreme_count, count(*) AS total FROM l WHERE words > 0 GROUP BY book")
 def library_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AG-15: the hundred books with the longest sentences (a top-k report)."""
+    """AG-15: longest sentences, extreme ones and total of every book."""
     p = metrics(spark, sf_dir).where("words > 0").groupBy("book").agg(F.max("words").alias("max_words"), F.max("chars").alias("max_chars"), F.count_if(F.col("level") == "EXTREME").alias("extreme_count"), F.count("*").alias("total"))
-    return p.orderBy(F.desc("max_words"), "book").limit(100)
+    return p
 
 
 @query(f"WITH {_METRIC_SQL} SELECT book, chapter, id, words, chars, level FROM l WHERE level = 'EXTREME' ORDER BY words DESC, chars DESC, book, chapter, id LIMIT 50")
@@ -210,18 +210,13 @@ def text_keys_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical(spark, sf_dir).where(t.isNotNull()).select(*REC, tx.slug(t).alias("slug"), tx.natural_key(t).alias("natural_key"), F.sha2(t, 256).alias("digest"))
 
 
-@query("""
-WITH s AS (SELECT DISTINCT word FROM acoustic_words WHERE word IS NOT NULL), a AS (SELECT word, regexp_replace(lower(word), '[^a-z]', '', 'g') AS w FROM s),
-b AS (SELECT *, length(w) AS n, greatest(1, CASE WHEN w LIKE '%e' AND w NOT LIKE '%le' AND length(w) > 2 THEN greatest(1, len(regexp_extract_all(w, '[aeiouy]+')) - 1) ELSE len(regexp_extract_all(w, '[aeiouy]+')) END) AS syl FROM a)
-SELECT word, syl::BIGINT AS syllables, CAST(round(greatest(1, CASE WHEN w = '' THEN 0.0 WHEN w IN ('a','an','the','of','in','on','at','to','for','with','and','or','but','is','was','are','were','it','its','as','by','that','this')
-  THEN greatest(1.2, n * 0.8) ELSE greatest(1.5, n * 0.7 + syl * 1.8) END
-  + CASE WHEN regexp_matches(word, '[;:；：]$') THEN 4.5 WHEN regexp_matches(word, '[,，—–-]$') THEN 2.8 WHEN regexp_matches(word, '[.?!。？！]$') THEN 5.0 WHEN regexp_matches(word, '["”’]$') THEN 1.0 ELSE 0.0 END) * 10) AS BIGINT) AS tenths FROM b
-""")
+@query()
 def acoustic_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SC-11: syllables and acoustic weight (in tenths) of every spelling."""
+    """SC-11: acoustic weight (in tenths) of every spelling, numbers written out. No SQL: numbers as words. Checked against a plain computation."""
     df = table(spark, sf_dir, "acoustic_words").where("word IS NOT NULL").select("word").distinct()
     w = F.col("word")
-    return df.select("word", tx.syllables(w).cast("bigint").alias("syllables"), F.round(tx.acoustic_weight(w) * 10).cast("bigint").alias("tenths"))
+    df = df.withColumn("spoken", kernels.numbers_written(w))
+    return df.select("word", tx.syllables(w).cast("bigint").alias("syllables"), F.round(tx.acoustic_weight(w, F.col("spoken")) * 10).cast("bigint").alias("tenths"))
 
 
 @query()
@@ -229,8 +224,8 @@ def word_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC-12: times of every word of the aligned sentences by acoustic weight."""
     df = once(table(spark, sf_dir, "aligned_sentences")).where("`end` >= `start` AND source_text IS NOT NULL")
     ws = F.filter(F.split("source_text", r"\s+"), lambda x: x != "")
-    ex = df.select(*REC, "start", "end", F.posexplode(ws).alias("n", "word"))
-    return sequence.word_spans(ex, [*REC, "start"], "n", tx.acoustic_weight(F.col("word")), "start", "end").select(*REC, "n", "word", "span_start", "span_end")
+    ex = df.select(*REC, "start", "end", F.posexplode(ws).alias("n", "word")).withColumn("spoken", kernels.numbers_written(F.col("word")))
+    return sequence.word_spans(ex, [*REC, "start"], "n", tx.acoustic_weight(F.col("word"), F.col("spoken")), "start", "end").select(*REC, "n", "word", "span_start", "span_end")
 
 
 @query()

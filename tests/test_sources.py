@@ -89,6 +89,11 @@ def test_audits(spark):
     v = audit.verdict(audit.union([audit.orthography(c), audit.typography(c)])).first()
     assert not v["ready"] and v["errors"] == 3
     assert audit.orthography(c.where("1 = 0")).count() == 0
+    open_quotes = [r["id"] for r in audit.orthography(c, quotes=True).where("rule = 'unclosed_quote'").collect()]
+    assert open_quotes == ["s-5"]
+    texts = ["He ran. She hid.", "Mr. Hill ran.", "J. Hill ran.", "No. Never mind.", "He left. Oh no. Never mind.", "“Go!” He ran.", "“Go. Now he ran.", "He said “No.” Then he ran.", "It was *odd* Then it went.", "In the U.S. Army.", "All is one"]
+    rows = spark.createDataFrame([("b", 1, i, f"s-{i}", i, "p", t, False, False, False) for i, t in enumerate(texts)], schema)
+    assert {r["id"] for r in audit.boundaries(rows).collect()} == {"s-0", "s-4", "s-7", "s-8"}
 
 
 def test_preflight_and_selection(spark, tmp_path):
