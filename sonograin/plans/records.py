@@ -112,24 +112,6 @@ def repeated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relate.repeats(df, CH, "o", tx.words(F.col("text"))).select(*CH, "seq", "id")
 
 
-@query(f"""
-WITH w AS (SELECT book, chapter, token_index, regexp_replace(lower(min(word)), '[^a-z0-9]', '', 'g') AS t FROM acoustic_words WHERE word IS NOT NULL GROUP BY 1, 2, 3),
-k AS (SELECT book, chapter, token_index, t, row_number() OVER (PARTITION BY book, chapter ORDER BY token_index) AS p FROM w WHERE t <> ''),
-g AS (SELECT a.book, a.chapter, a.token_index AS start, a.t || ' ' || b.t || ' ' || c.t AS gram FROM k a JOIN k b ON a.book = b.book AND a.chapter = b.chapter AND b.p = a.p + 1 JOIN k c ON a.book = c.book AND a.chapter = c.chapter AND c.p = a.p + 2),
-s AS (SELECT DISTINCT book, chapter, id, list_filter(list_transform(string_split_regex(lower(source_text), '[\\t\\n\\x0B\\f\\r ]+'), lambda x: regexp_replace(x, '[^a-z0-9]', '', 'g')), lambda x: x <> '') AS w FROM aligned_sentences WHERE source_text IS NOT NULL)
-SELECT s.book, s.chapter, s.id, g.start, count(*) OVER (PARTITION BY s.book, s.chapter, s.id) AS places FROM s JOIN g ON s.book = g.book AND s.chapter = g.chapter AND g.gram = array_to_string(s.w[1:3], ' ') WHERE len(s.w) >= 3
-""")
-def passage_locate_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-14 on heads, SQ-04: every place in the chapter's audio at which a sentence's first three words stand; passage_locate_whole compares all."""
-    w = table(spark, sf_dir, "acoustic_words").where("word IS NOT NULL").groupBy(*CH, "token_index").agg(F.min("word").alias("word"))
-    w = w.select(*CH, "token_index", F.regexp_replace(F.lower("word"), "[^a-z0-9]", "").alias("t")).where("t <> ''")
-    g = relate.ngram_starts(w, CH, "token_index", "t", 3)
-    ws = F.filter(F.transform(F.split(F.lower("source_text"), r"[\t\n\x0B\f\r ]+"), lambda x: F.regexp_replace(x, "[^a-z0-9]", "")), lambda x: x != "")
-    s = table(spark, sf_dir, "aligned_sentences").where("source_text IS NOT NULL").select(*REC, ws.alias("w")).distinct().where(F.size("w") >= 3)
-    s = s.select(*REC, F.array_join(F.slice("w", 1, 3), " ").alias("gram"))
-    return s.join(g, [*CH, "gram"]).select(*REC, "start", F.count("*").over(Window.partitionBy(*REC)).alias("places"))
-
-
 @query(f"""
 WITH w AS (SELECT book, chapter, token_index, regexp_replace(lower(min(word)), '[^a-z0-9]', '', 'g') AS t FROM acoustic_words WHERE word IS NOT NULL GROUP BY 1, 2, 3),
 k AS (SELECT book, chapter, token_index, t, row_number() OVER (PARTITION BY book, chapter ORDER BY token_index) AS p FROM w WHERE t <> ''),
@@ -138,8 +120,8 @@ s AS (SELECT DISTINCT book, chapter, id, list_filter(list_transform(string_split
 SELECT s.book, s.chapter, s.id, k.token_index AS start, count(*) OVER (PARTITION BY s.book, s.chapter, s.id) AS places
 FROM s JOIN k ON s.book = k.book AND s.chapter = k.chapter AND k.t = s.w[1] JOIN l ON s.book = l.book AND s.chapter = l.chapter WHERE l.ws[k.p : k.p + len(s.w) - 1] = s.w
 """)
-def passage_locate_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-14: every place in the chapter's audio at which all words of a sentence stand, sentences of any length."""
+def passage_locate_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-14, SQ-04: every place in the chapter's audio at which all words of a sentence stand, sentences of any length."""
     w = table(spark, sf_dir, "acoustic_words").where("word IS NOT NULL").groupBy(*CH, "token_index").agg(F.min("word").alias("word"))
     w = w.select(*CH, "token_index", F.regexp_replace(F.lower("word"), "[^a-z0-9]", "").alias("t")).where("t <> ''")
     ws = F.filter(F.transform(F.split(F.lower("source_text"), r"[\t\n\x0B\f\r ]+"), lambda x: F.regexp_replace(x, "[^a-z0-9]", "")), lambda x: x != "")
@@ -291,15 +273,18 @@ def audit_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT book, chapter, id, 'empty_text' AS rule FROM ({CANON_SQL}) WHERE trim(coalesce(text, '')) = ''
-UNION ALL SELECT book, chapter, id, 'trailing_hyphen' FROM ({CANON_SQL}) WHERE regexp_matches(trim(text), '[a-zA-Z]-$') AND NOT regexp_matches(trim(text), '^https?://')
-UNION ALL SELECT book, chapter, id, 'lowercase_start' FROM ({CANON_SQL}) WHERE NOT coalesce(is_heading, false) AND regexp_matches(trim(text), '^["“‘''(\\[]*[a-z]')
-  AND NOT regexp_matches(trim(text), '^(\\(([a-zA-Z]{{1,2}}|[0-9]{{1,3}}|[ivxLCDM]+)\\)|[a-zA-Z]{{1,2}}\\.|[0-9]{{1,3}}\\.|[ivxLCDM]+\\.)') AND NOT regexp_matches(trim(text), '^by\\s+[A-Z]') AND NOT regexp_matches(trim(text), '^[a-zA-Z]\\s*=\\s*') AND NOT regexp_matches(trim(text), '^https?://')
+WITH c AS (SELECT *, trim(text) AS t, regexp_replace(trim(text), '([a-zA-Z])[0-9]{{1,3}}$', '\\1') AS w, coalesce(is_heading, false) AS h, regexp_matches(trim(text), '^https?://') AS url FROM ({CANON_SQL}))
+SELECT book, chapter, id, 'empty_text' AS rule FROM c WHERE coalesce(t, '') = ''
+UNION ALL SELECT book, chapter, id, 'trailing_hyphen' FROM c WHERE regexp_matches(t, '[a-zA-Z]-$') AND NOT url
+UNION ALL SELECT book, chapter, id, 'lowercase_start' FROM c WHERE NOT h AND regexp_matches(t, '^["“‘''(\\[]*[a-z]')
+  AND NOT regexp_matches(t, '^(\\(([a-zA-Z]{{1,2}}|[0-9]{{1,3}}|[ivxLCDM]+)\\)|[a-zA-Z]{{1,2}}\\.|[0-9]{{1,3}}\\.|[ivxLCDM]+\\.)') AND NOT regexp_matches(t, '^by\\s+[A-Z]') AND NOT regexp_matches(t, '^[a-zA-Z]\\s*=\\s*') AND NOT url
+UNION ALL SELECT book, chapter, id, 'orphan_word' FROM c WHERE NOT h AND NOT coalesce(is_tabular, false) AND t <> '' AND NOT url AND NOT regexp_matches(w, '[\\t\\n\\x0B\\f\\r ]')
+  AND NOT regexp_matches(w, '^[—–-]') AND NOT regexp_full_match(w, '[*\\s—–•#+-]+') AND NOT regexp_matches(w, '[.!?…”")\\]:,—–。！？-]$')
+UNION ALL SELECT book, chapter, id, 'unclosed_quote' FROM c WHERE NOT url AND (length(t) - length(replace(t, '“', '')) > length(t) - length(replace(t, '”', '')) OR (length(t) - length(replace(t, '"', ''))) % 2 = 1)
 """)
 def orthography_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AU-01: the three rules of orthography that need no neighbour."""
-    f = audit.orthography(canonical(spark, sf_dir))
-    return f.where(F.col("rule").isin("empty_text", "trailing_hyphen", "lowercase_start")).select(*REC, "rule")
+    """AU-01: every rule of orthography on every record."""
+    return audit.orthography(canonical(spark, sf_dir), quotes=True).select(*REC, "rule")
 
 
 @query("""

@@ -14,7 +14,7 @@ def put(spark, folder, **tables):
 def test_folded_text_of_every_document(spark, tmp_path):
     texts = ["„Ja“ ‚so‘", "« Oui » ‹ non ›", "−3 – 4", "Plain…", None]
     d = put(spark, tmp_path, documents=(list(enumerate(texts)), "doc_id bigint, text string"))
-    got = {r["doc_id"]: r["folded"] for r in __spark_entry__.queries()["folded_text_all"](spark, d).collect()}
+    got = {r["doc_id"]: r["folded"] for r in __spark_entry__.queries()["folded_text"](spark, d).collect()}
     assert got == {0: "\"ja\" 'so'", 1: "\" oui \" ' non '", 2: "-3 - 4", 3: "plain..."}
 
 
@@ -23,7 +23,7 @@ def test_text_keys_of_records_with_brackets(spark, tmp_path):
     rows = [("b", 1, i, f"s-{i}", 0, "p", t, False, False, False) for i, t in enumerate(texts)]
     schema = "book string, chapter int, seq int, id string, elem_idx int, tag string, text string, is_heading boolean, is_tabular boolean, is_footnote boolean"
     d = put(spark, tmp_path, canonical_sentences=(rows, schema))
-    got = {r["id"]: (r["slug"], r["natural_key"], len(r["digest"])) for r in __spark_entry__.queries()["text_keys_all"](spark, d).collect()}
+    got = {r["id"]: (r["slug"], r["natural_key"], len(r["digest"])) for r in __spark_entry__.queries()["text_keys"](spark, d).collect()}
     slugs = ["the-book-of-x", "a-b", "x-y", "p-q-t", "open-end", "none"]
     assert {k: v[0] for k, v in got.items()} == {f"s-{i}": s for i, s in enumerate(slugs)}
     assert got["s-0"][1:] == ("the book (000000000002nd ed.) of x!", 64)
@@ -44,7 +44,7 @@ def test_passages_stand_with_all_their_words(spark, tmp_path):
         spark, tmp_path, acoustic_words=([("b", 1, i, w) for i, w in enumerate(words)], "book string, chapter int, token_index bigint, word string"),
         aligned_sentences=([("b", 1, k, t) for k, t in texts.items()], "book string, chapter int, id string, source_text string"),
     )
-    got = {(r["id"], r["start"], r["places"]) for r in __spark_entry__.queries()["passage_locate_whole"](spark, d).collect()}
+    got = {(r["id"], r["start"], r["places"]) for r in __spark_entry__.queries()["passage_locate_exact"](spark, d).collect()}
     assert got == {("s-1", 0, 1), ("s-2", 0, 2), ("s-2", 5, 2), ("s-3", 10, 1), ("s-4", 0, 3), ("s-4", 5, 3), ("s-4", 11, 3)}
 
 
