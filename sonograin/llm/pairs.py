@@ -165,13 +165,14 @@ def usual_lengths(df: DataFrame, text: str, trans: str, lang: str) -> DataFrame:
     return df.where(ok).groupBy(lang).agg(F.percentile_approx(F.length(F.trim(F.col(trans))) / F.length(F.trim(F.col(text))), 0.5, 1000).alias("usual"))
 
 
-def broken_pairs(df: DataFrame, key: list[str], text: str, trans: str, lang: str) -> DataFrame:
+def broken_pairs(df: DataFrame, key: list[str], text: str, trans: str, lang: str, renderings: DataFrame | None = None) -> DataFrame:
     """(key, defect): one row per defective pair, 'empty', 'copy', 'refusal', 'wrong_language' or 'truncated'.
 
     The first that holds in this order counts.  A null or blank text with a response can only be refused or in
     another language.  Null language: judged by script, its usual length is that of all null ones.
-    Repeated rows give repeated results; an empty table gives none."""
-    closes, chinese = rendering_model(df, trans)
+    Repeated rows give repeated results; an empty table gives none.  `renderings`: rows with `trans` to count dictionary and model over;
+    default: df (a plain scan of the same rows is cheaper than df behind joins)."""
+    closes, chinese = rendering_model(df if renderings is None else renderings, trans)
     usual = usual_lengths(df, text, trans, lang).select(F.col(lang).alias("__l"), "usual")
     src = df.select(*key, F.col(text).alias("__text"), F.col(trans).alias("__trans"), F.col(lang).alias("__lang"))
     src = src.join(usual, F.col("__lang").eqNullSafe(F.col("__l")), "left").select(*key, "__text", "__trans", "__lang", "usual")

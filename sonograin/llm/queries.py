@@ -113,8 +113,8 @@ def p6_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text and rendering pairs with a defect."""
-    rows = once(table(spark, sf_dir, "full_analysis").select(*RECORD, "text", "trans", "written_at"))
-    return pairs.broken_pairs(rows.join(chapter_langs(spark, sf_dir), CHAPTER, "left"), RECORD, "text", "trans", "lang")
+    raw = table(spark, sf_dir, "full_analysis").select(*RECORD, "text", "trans", "written_at")
+    return pairs.broken_pairs(once(raw).join(chapter_langs(spark, sf_dir), CHAPTER, "left"), RECORD, "text", "trans", "lang", raw)
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
