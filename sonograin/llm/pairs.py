@@ -145,8 +145,8 @@ def rendering_model(df: DataFrame, trans: str) -> tuple[frozenset[str], frozense
 
     A pair closes if it stands last in more than CLOSES of its occurrences, two of them taken off for chance."""
     t = F.rtrim(F.col(trans))
-    rows = df.where(F.length(t) >= 2).select(t.alias("t"))
-    cut = F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: F.struct(F.substring(F.col("t"), i, F.lit(2)).alias("g"), (i == F.length("t") - 1).alias("last")))
+    rows = df.where(F.length(t) >= 2).select(F.split(t, "").alias("c"))  # characters first: a substring would count from the start each time
+    cut = F.transform(F.slice("c", 1, F.size("c") - 1), lambda c, i: F.struct(F.concat(c, F.col("c")[i + 1]).alias("g"), (i == F.size("c") - 2).alias("last")))
     grams = rows.select(F.explode(cut).alias("x")).groupBy("x.g").agg(F.count("*").alias("n"), F.count_if("x.last").alias("last"))
     total = grams.agg(F.sum("n")).scalar()
     closes, chinese = set(), set()

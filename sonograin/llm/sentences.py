@@ -139,11 +139,11 @@ def corpus_words(df: DataFrame, text: str) -> dict[str, list[str]]:
     t = F.col(text)
     code = reduce(lambda c, x: c.when(t.rlike(f"[{x[1]}]"), x[0]), BLOCKS_OF.items(), F)
     rows = df.where(t.rlike(f"[{_SCRIPTS}]")).select(code.alias("g"), t.alias("t"))
-    runs = rows.select("g", F.explode(F.regexp_extract_all("t", F.lit(f"([{_SCRIPTS}]+)"))).alias("r"))
+    runs = rows.select("g", F.explode(F.regexp_extract_all("t", F.lit(f"([{_SCRIPTS}]+)"))).alias("r")).select("g", F.split("r", "").alias("c"))
 
     def stretches(n: int) -> Column:
-        cut = F.transform(F.sequence(F.lit(1), F.length("r") - (n - 1)), lambda i: F.substring(F.col("r"), i, F.lit(n)))
-        return F.when(F.length("r") >= n, cut).otherwise(F.array().cast("array<string>"))
+        cut = F.transform(F.slice("c", 1, F.size("c") - (n - 1)), lambda c, i: F.concat(c, *[F.col("c")[i + k] for k in range(1, n)]))
+        return F.when(F.size("c") >= n, cut).otherwise(F.array().cast("array<string>"))
 
     grams = F.flatten(F.array(*[stretches(n) for n in range(1, LONGEST + 1)]))
     counts = runs.select("g", F.explode(grams).alias("w")).groupBy("g", "w").agg(F.count("*").alias("n"))
