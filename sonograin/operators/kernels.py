@@ -35,28 +35,29 @@ def ratio_column(a: Column, b: Column) -> Column:
     return _ratio_udf(a, b)
 
 
-def spoken_number(s: str) -> str:
-    """SC-10: a number as it is read: years from 1100 to 2099 in pairs, decimals after 'point', up to 999,999."""
-    s = s.replace(",", "")
-    whole, point, part = s.partition(".")
-    if point:
-        digits = spoken_number(part) if len(part) == 2 and part[0] != "0" else " ".join(ONES[int(d)] if d.isdigit() else d for d in part)
-        return f"{spoken_number(whole)} point {digits}"
-    if not re.fullmatch(r"\d+", s):
-        return s
-    n = int(s)
-    if n < 20:
-        return ONES[n]
+UNDER_HUNDRED = [*ONES, *(f"{t} {o}".strip() for t in TENS[2:] for o in ("", *ONES[1:10]))]
+
+
+def _whole_number(n: int) -> str:
+    """A number below a million as a head (pairs of a year, thousands, hundreds) and what is left of it."""
     if n < 100:
-        return TENS[n // 10] + (f" {ONES[n % 10]}" if n % 10 else "")
-    if 1100 <= n <= 2099 and n % 100:
-        pair = f"oh {ONES[n % 100]}" if n % 100 < 10 else spoken_number(str(n % 100))
-        return f"{spoken_number(str(n // 100))} {pair}"
-    if n < 1000:
-        return f"{ONES[n // 100]} hundred" + (f" and {spoken_number(str(n % 100))}" if n % 100 else "")
-    if n < 1_000_000:
-        return f"{spoken_number(str(n // 1000))} thousand" + (f" {spoken_number(str(n % 1000))}" if n % 1000 else "")
-    return s
+        return UNDER_HUNDRED[n]
+    if n % 100 and 1100 <= n <= 2099:
+        size, name, link = 100, "", "oh " if n % 100 < 10 else ""
+    else:
+        size, name, link = (1000, " thousand", "") if n >= 1000 else (100, " hundred", "and ")
+    head, rest = divmod(n, size)
+    return _whole_number(head) + name + (f" {link}{_whole_number(rest)}" if rest else "")
+
+
+def spoken_number(s: str) -> str:
+    """SC-10: a number as it is read: years from 1100 to 2099 in pairs, decimals after 'point', up to 999,999; what is none stays."""
+    whole, point, part = s.replace(",", "").partition(".")
+    read = _whole_number(int(whole)) if re.fullmatch(r"\d{1,6}|0*\d{1,6}", whole) else whole
+    if not point:
+        return read
+    in_one = re.fullmatch(r"[1-9]\d", part)  # two decimals are read as one number
+    return f"{read} point " + (UNDER_HUNDRED[int(part)] if in_one else " ".join(ONES[int(d)] if d.isdigit() else d for d in part))
 
 
 @F.pandas_udf(T.StringType())
