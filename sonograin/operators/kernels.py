@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sonograin.operators.pairing import Pairing
+
 _WORD = re.compile(r"[a-z0-9']+")
 # Names of numbers.
 ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
@@ -167,49 +169,7 @@ def reconcile(chapters: list[dict], tracks: list[dict], most: int = 3, skip: flo
     chapters: head, tail (normalised anchors), chars; tracks: head, tail, duration.  A group scores 0.75 of the
     anchors' likeness, 0.15 of the likeness of text and time shares and 0.10 of the count ratio, less `grouping` per
     further member; a skip costs `skip`.  Of equal scores the way found first stays."""
-    n, m = len(chapters), len(tracks)
-    chars = sum(max(1, c["chars"]) for c in chapters)
-    time = sum(max(0.01, t["duration"]) for t in tracks)
-    memo: dict[tuple[str, str], float] = {}
-
-    def like(a: str, b: str) -> float:
-        if (a, b) not in memo:
-            memo[a, b] = ratio(a, b)
-        return memo[a, b]
-
-    def confidence(cs: list[dict], ts: list[dict]) -> float:
-        head, tail = ts[0]["head"], ts[-1]["tail"]
-        h = like(cs[0]["head"], head) if head else 0.0
-        t = like(cs[-1]["tail"], tail) if tail else 0.0
-        anchors = (h + t) / 2 if head and tail else max(h, t)
-        share, length = sum(max(1, c["chars"]) for c in cs) / max(1, chars), sum(max(0.01, x["duration"]) for x in ts) / max(0.01, time)
-        counts = min(len(cs), len(ts)) / max(len(cs), len(ts))
-        return round(0.75 * anchors + 0.15 * min(share, length) / max(share, length) + 0.10 * counts, 6)
-
-    best = [[None] * (m + 1) for _ in range(n + 1)]
-    best[0][0] = (0.0, None, None)  # score, from, row
-
-    def offer(i: int, j: int, score: float, came: tuple[int, int], row: dict) -> None:
-        if best[i][j] is None or score > best[i][j][0]:
-            best[i][j] = (score, came, row)
-
-    for i in range(n + 1):
-        for j in range(m + 1):
-            score = best[i][j][0]
-            if i < n:
-                offer(i + 1, j, score - skip, (i, j), {"kind": "skip_chapter", "chapters": [i], "tracks": [], "confidence": 1.0})
-            if j < m:
-                offer(i, j + 1, score - skip, (i, j), {"kind": "skip_audio", "chapters": [], "tracks": [j], "confidence": 1.0})
-            for c in range(1, min(most, n - i) + 1):
-                for a in range(1, min(most, m - j) + 1):
-                    k = confidence(chapters[i : i + c], tracks[j : j + a])
-                    offer(i + c, j + a, score + k - grouping * (c + a - 2), (i, j), {"kind": "match", "chapters": [*range(i, i + c)], "tracks": [*range(j, j + a)], "confidence": k})
-    rows, at = [], (n, m)
-    while at != (0, 0):
-        _, came, row = best[at[0]][at[1]]
-        rows.append(row)
-        at = came
-    return rows[::-1]
+    return Pairing(chapters, tracks, most, skip, grouping).rows()
 
 
 def reconcile_books(chapters: DataFrame, tracks: DataFrame, key: str = "book") -> DataFrame:
